@@ -54,6 +54,10 @@ def indicator(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0)
 
 
+def _summed(grain: DataFrame, *keys: str) -> list[Column]:
+    return [F.sum(c).alias(c) for c in grain.columns if c not in keys]
+
+
 def carrier_performance(df: DataFrame) -> DataFrame:
     flights = fill_report_numbers(df)
     late = F.col("ARR_DELAY")
@@ -71,22 +75,27 @@ def carrier_performance(df: DataFrame) -> DataFrame:
         F.sum(indicator(late > 15)).alias("significant"),
         F.sum(F.col("ACTUAL_ELAPSED_TIME") - F.col("CRS_ELAPSED_TIME")).alias("deviation"),
     )
-    n = F.sum("n")
-    return grain.groupBy("OP_CARRIER").agg(
-        n.alias("total_flights"),
-        share(F.sum("arrival"), n, 2).alias("avg_arrival_delay"),
-        share(F.sum("departure"), n, 2).alias("avg_departure_delay"),
-        share(F.sum("air"), F.sum("n_air"), 2).alias("avg_air_time"),
-        share(F.sum("miles"), F.sum("n_miles"), 2).alias("avg_distance"),
-        share(F.sum("carrier"), n, 2).alias("avg_carrier_delay"),
-        share(F.sum("weather"), n, 2).alias("avg_weather_delay"),
-        share(F.sum("cancelled"), n, 4).alias("cancellation_rate"),
-        share(F.sum("diverted"), n, 4).alias("diversion_rate"),
+    sums = grain.groupBy("OP_CARRIER").agg(
+        *_summed(grain, "OP_CARRIER", "ORIGIN", "DEST"),
         F.countDistinct("ORIGIN").alias("unique_origins"),
-        F.countDistinct("DEST").alias("unique_destinations"),
-        F.round(F.sum("on_time") / n * 100, 2).alias("on_time_performance"),
-        F.round(F.sum("significant") / n * 100, 2).alias("significant_delay_percentage"),
-        share(F.sum("deviation"), n, 2).alias("avg_time_deviation"),
+        F.countDistinct("DEST").alias("unique_destinations"))
+    n = F.col("n")
+    return sums.select(
+        "OP_CARRIER",
+        n.alias("total_flights"),
+        share(F.col("arrival"), n, 2).alias("avg_arrival_delay"),
+        share(F.col("departure"), n, 2).alias("avg_departure_delay"),
+        share(F.col("air"), F.col("n_air"), 2).alias("avg_air_time"),
+        share(F.col("miles"), F.col("n_miles"), 2).alias("avg_distance"),
+        share(F.col("carrier"), n, 2).alias("avg_carrier_delay"),
+        share(F.col("weather"), n, 2).alias("avg_weather_delay"),
+        share(F.col("cancelled"), n, 4).alias("cancellation_rate"),
+        share(F.col("diverted"), n, 4).alias("diversion_rate"),
+        "unique_origins",
+        "unique_destinations",
+        F.round(F.col("on_time") / n * 100, 2).alias("on_time_performance"),
+        F.round(F.col("significant") / n * 100, 2).alias("significant_delay_percentage"),
+        share(F.col("deviation"), n, 2).alias("avg_time_deviation"),
     )
 
 
@@ -128,22 +137,28 @@ def airport_performance(df: DataFrame) -> DataFrame:
         F.count("*").alias("n"),
         F.sum("DEP_DELAY").alias("departure"),
         F.sum(F.col("DEP_DELAY") * F.col("DEP_DELAY")).alias("squares"),
-        F.max("DEP_DELAY").alias("worst"),
         F.sum("TAXI_OUT").alias("taxi_out"),
         F.sum("TAXI_IN").alias("taxi_in"),
         F.sum("CANCELLED").alias("cancelled"),
+        F.max("DEP_DELAY").alias("worst"),
     )
-    n = F.sum("n")
-    return grain.groupBy("ORIGIN").agg(
-        n.alias("total_departures"),
-        share(F.sum("departure"), n, 2).alias("avg_departure_delay"),
-        share(F.sum("taxi_out"), n, 2).alias("avg_taxi_out_time"),
-        share(F.sum("taxi_in"), n, 2).alias("avg_taxi_in_time"),
+    sums = grain.groupBy("ORIGIN").agg(
+        *_summed(grain, "ORIGIN", "OP_CARRIER", "DEST", "worst"),
+        F.max("worst").alias("worst"),
         F.countDistinct("OP_CARRIER").alias("num_carriers"),
-        F.countDistinct("DEST").alias("num_destinations"),
-        share(F.sum("cancelled"), n, 4).alias("cancellation_rate"),
-        F.round(F.max("worst"), 2).alias("max_departure_delay"),
-        sample_stddev(F.sum("departure"), F.sum("squares"), n, 2).alias("departure_delay_std"),
+        F.countDistinct("DEST").alias("num_destinations"))
+    n = F.col("n")
+    return sums.select(
+        "ORIGIN",
+        n.alias("total_departures"),
+        share(F.col("departure"), n, 2).alias("avg_departure_delay"),
+        share(F.col("taxi_out"), n, 2).alias("avg_taxi_out_time"),
+        share(F.col("taxi_in"), n, 2).alias("avg_taxi_in_time"),
+        "num_carriers",
+        "num_destinations",
+        share(F.col("cancelled"), n, 4).alias("cancellation_rate"),
+        F.round("worst", 2).alias("max_departure_delay"),
+        sample_stddev(F.col("departure"), F.col("squares"), n, 2).alias("departure_delay_std"),
     ).orderBy(F.col("total_departures").desc(), "ORIGIN")
 
 

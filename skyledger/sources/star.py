@@ -60,21 +60,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _ports(spark: SparkSession, sf_dir: str, side: str, prefix: str) -> DataFrame:
-    """Key of a supplier or customer with its port code, such as `EU07`."""
+def _ports(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
+    """Port code of every nation, such as `EU07`."""
     nation = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    key = "suppkey" if side == "supplier" else "custkey"
     code = F.concat(
         F.upper(F.substring("r_name", 1, 2)), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
-    return (
-        table(spark, sf_dir, side)
-        .join(nation, F.col(f"{prefix}_nationkey") == F.col("n_nationkey"))
-        .select(F.col(f"{prefix}_{key}").alias(f"{side}_key"), code.alias(f"{side}_port"))
-    )
+    return nation.select(
+        F.col("n_nationkey").alias(f"{side}_nation_key"), code.alias(f"{side}_port"))
 
 
 def _star(spark: SparkSession, sf_dir: str, tables: set[str]) -> DataFrame:
+    """Line items with the dimensions asked for.
+
+    Shuffles carry the number of a nation; its port code is looked up at the end, from the
+    two dimensions that never grow.
+    """
     rows = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("ok"), F.col("l_partkey").alias("pk"),
         F.col("l_suppkey").alias("sk"), F.col("l_linenumber").alias("ln"))
@@ -82,16 +83,20 @@ def _star(spark: SparkSession, sf_dir: str, tables: set[str]) -> DataFrame:
         part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
         rows = rows.join(part, F.col("pk") == F.col("p_partkey"))
     if "supplier" in tables:
-        ports = _ports(spark, sf_dir, "supplier", "s")
-        rows = rows.join(ports, F.col("sk") == F.col("supplier_key"))
+        supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+        rows = rows.join(supplier, F.col("sk") == F.col("s_suppkey"))
     if "orders" in tables:
         orders = table(spark, sf_dir, "orders").select(
             "o_orderkey", F.col("o_custkey").alias("ck"),
             F.col("o_orderdate").cast("date").alias("flown"))
         if "customer" in tables:
-            ports = _ports(spark, sf_dir, "customer", "c")
-            orders = orders.join(ports, F.col("ck") == F.col("customer_key"))
+            customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+            orders = orders.join(customer, F.col("ck") == F.col("c_custkey"))
         rows = rows.join(orders, F.col("ok") == F.col("o_orderkey"))
+    for side, key in (("supplier", "s_nationkey"), ("customer", "c_nationkey")):
+        if side in tables:
+            rows = rows.join(
+                _ports(spark, sf_dir, side), F.col(key) == F.col(f"{side}_nation_key"))
     return rows
 
 

@@ -15,7 +15,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session(
         "check", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g",
-        spark__ui__enabled="false")
+        spark__ui__enabled="false", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls = connect(sf_dir), entry.oracle_sql()
     wanted = sys.argv[2:] or list(entry.queries())
