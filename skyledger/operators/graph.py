@@ -17,15 +17,20 @@ class FlightGraph:
     edges: DataFrame
 
 
+def _ends(df: DataFrame) -> DataFrame:
+    """Origin (side 0) and destination (side 1) of every flight, in one pass."""
+    ends = F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.col("ORIGIN").alias("id")),
+        F.struct(F.lit(1).alias("side"), F.col("DEST").alias("id"))))
+    return df.select(ends.alias("end")).select("end.side", "end.id")
+
+
 def flight_vertices(df: DataFrame) -> DataFrame:
-    """Distinct origins followed by distinct destinations, from one pass over the flights.
+    """Distinct origins and distinct destinations, one list after the other.
 
     An airport on both sides appears twice, as in a union of two distinct lists.
     """
-    ends = F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("ORIGIN").alias("id")),
-        F.struct(F.lit(1).alias("side"), F.col("DEST").alias("id"))))
-    return df.select(ends.alias("end")).select("end.side", "end.id").distinct().select("id")
+    return _ends(df).distinct().select("id")
 
 
 def flight_edges(df: DataFrame) -> DataFrame:
@@ -47,12 +52,12 @@ def flight_graph(df: DataFrame) -> FlightGraph:
 
 
 def graph_counts(df: DataFrame) -> DataFrame:
-    """Number of vertices (both sides counted) and of edges."""
-    def counted(part: str, rows: DataFrame) -> DataFrame:
-        return rows.agg(F.count("*").alias("total")).select(F.lit(part).alias("part"), "total")
-
-    return counted("vertices", flight_vertices(df)).union(
-        counted("edges", df.select("ORIGIN", "DEST")))
+    """Number of vertices (both sides counted) and of edges, from one pass."""
+    airports = _ends(df).groupBy("side", "id").agg(F.count("*").alias("flights"))
+    flights = F.sum(F.when(F.col("side") == 0, F.col("flights")).otherwise(0))
+    totals = airports.agg(
+        F.count("*").alias("vertices"), F.coalesce(flights, F.lit(0)).alias("edges"))
+    return totals.unpivot([], ["vertices", "edges"], "part", "total")
 
 
 def _weighted_edges(edges: DataFrame) -> DataFrame:

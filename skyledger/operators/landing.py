@@ -1,13 +1,15 @@
 """Landed flight payloads turned into flight rows.
 
 A payload key that is absent takes a default, while one that is present but null makes
-the record unusable. Parsing into a map keeps that difference; a struct would lose it.
+the record unusable. A parsed struct shows both as null, so the keys of a record are looked at
+as well, but only where some field came out null.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from skyledger.functions.columns import route_type
 
@@ -21,51 +23,64 @@ LAST_SECOND = 253402300799
 # Texts of a JSON value that count as false.
 FALSE_TEXT = ["", "false", "0", "0.0", "[]", "{}"]
 
+PAYLOAD_SCHEMA = StructType([
+    StructField("callsign", StringType()),
+    StructField("estDepartureAirport", StringType()),
+    StructField("estArrivalAirport", StringType()),
+    StructField("firstSeen", DoubleType()),
+    StructField("lastSeen", DoubleType()),
+    StructField("estDepartureAirportHorizDistance", DoubleType()),
+    StructField("scheduledDepartureTime", StringType()),
+    StructField("diverted", StringType()),
+])
+
 _REQUIRED_TEXT = ["callsign", "estDepartureAirport", "estArrivalAirport"]
 _REQUIRED_TIME = ["firstSeen", "lastSeen"]
+_PLANNED = "scheduledDepartureTime"
+_DISTANCE = "estDepartureAirportHorizDistance"
 
 
-def _has(key: str) -> Column:
-    return F.map_contains_key("payload", key)
+def _field(key: str) -> Column:
+    return F.col(f"payload.{key}")
 
 
-def _get(key: str) -> Column:
-    return F.try_element_at(F.col("payload"), F.lit(key))
+def _moment(seconds: Column) -> Column:
+    return F.when(seconds.between(FIRST_SECOND, LAST_SECOND), seconds)
 
 
-def _text(key: str) -> Column:
-    return F.when(_has(key), _get(key)).otherwise(F.lit(""))
+def _truthy(value: Column) -> Column:
+    return value.isNotNull() & ~F.lower(value).isin(FALSE_TEXT)
 
 
-def _seconds(key: str) -> Column:
-    return F.when(_has(key), _get(key).try_cast("double")).otherwise(F.lit(0.0))
+def _planned() -> Column:
+    return _moment(_field(_PLANNED).try_cast("double"))
 
 
-def _truthy(value: Column) -> Column:
-    return value.isNotNull() & ~F.lower(value).isin(FALSE_TEXT)
-
+def _computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters use.
 
-def _unusable_time(seconds: Column) -> Column:
-    return seconds.isNull() | ~seconds.between(FIRST_SECOND, LAST_SECOND)
+    A filter is pushed below a projection together with the expressions it uses, which
+    would parse every record twice. It is not pushed below an explode.
+    """
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))
 
 
 def _parse(json_df: DataFrame, value: str, with_delay: bool) -> DataFrame:
     """The fields of a payload and, in `problem`, why it cannot be used (null when it can)."""
-    # The one-element explode keeps the parser out of the filters on its result, which would
-    # otherwise be pushed below the projection and parse every record a second time.
-    parsed = F.from_json(F.col(value).cast("string"), "map<string,string>")
-    fields = json_df.select("*", F.explode_outer(F.array(parsed)).alias("payload"))
-    problem = F.when(F.col("payload").isNull(), "not a JSON object")
-    for key in _REQUIRED_TEXT:
-        problem = problem.when(_text(key).isNull(), f"null {key}")
-    for key in _REQUIRED_TIME:
-        problem = problem.when(_unusable_time(_seconds(key)), f"bad {key}")
+    text = F.col(value).cast("string")
+    fields = _computed_once(json_df, "payload", F.from_json(text, PAYLOAD_SCHEMA))
+    empty = [F.when(_field(key).isNull(), key) for key in _REQUIRED_TEXT]
+    empty += [F.when(_moment(_field(key)).isNull(), key) for key in _REQUIRED_TIME]
     if with_delay:
-        planned = _get("scheduledDepartureTime")
-        problem = problem.when(
-            _truthy(planned) & _unusable_time(planned.try_cast("double")),
-            "bad scheduledDepartureTime")
-    return fields.withColumn("problem", problem)
+        empty.append(F.when(_truthy(_field(_PLANNED)) & _planned().isNull(), _PLANNED))
+    fields = fields.withColumn("empty", F.array_compact(F.array(*empty)))
+    doubtful = (F.size("empty") > 0) | _field(_DISTANCE).isNull()
+    fields = _computed_once(fields, "present", F.when(doubtful, F.json_object_keys(text)))
+    held = F.get(F.array_intersect("empty", "present"), F.lit(0))
+    return fields.withColumn(
+        "problem",
+        F.when(doubtful & F.col("present").isNull(), "not a JSON object")
+        .when(F.size("empty") > 0, F.concat(F.lit("unusable "), held)))
 
 
 def normalize_flights(
@@ -77,17 +92,15 @@ def normalize_flights(
     0 where no departure was scheduled.
     """
     parsed = _parse(json_df, value, with_delay)
-    left = F.timestamp_seconds(_seconds("firstSeen"))
-    arrived = F.timestamp_seconds(_seconds("lastSeen"))
-    call = F.regexp_replace(_text("callsign"), r"(?U)^\s+|\s+$", "")
-    planned = _get("scheduledDepartureTime")
-    delay = F.when(
-        _truthy(planned), (_seconds("firstSeen") - planned.try_cast("double")) / 60
-    ).otherwise(0.0)
+    # In a usable record a required field that is null was absent.
+    call, origin, dest = (F.coalesce(_field(key), F.lit("")) for key in _REQUIRED_TEXT)
+    seen, landed = (F.coalesce(_field(key), F.lit(0.0)) for key in _REQUIRED_TIME)
+    call = F.regexp_replace(call, r"(?U)^\s+|\s+$", "")
+    left, arrived = F.timestamp_seconds(seen), F.timestamp_seconds(landed)
+    delay = F.when(_truthy(_field(_PLANNED)), (seen - _planned()) / 60).otherwise(0.0)
     miles = F.when(
-        _has("estDepartureAirportHorizDistance"),
-        _get("estDepartureAirportHorizDistance").try_cast("double")).otherwise(0.0)
-    origin, dest = _text("estDepartureAirport"), _text("estArrivalAirport")
+        _field(_DISTANCE).isNull() & ~F.array_contains("present", _DISTANCE), 0.0
+    ).otherwise(_field(_DISTANCE))
     columns = [
         F.substring(call, 1, 3).alias("UniqueCarrier"),
         origin.alias("Origin"),
@@ -99,7 +112,7 @@ def normalize_flights(
         *([delay.alias("DepDelay")] if with_delay else []),
         miles.alias("Distance"),
         F.date_format(arrived, "HHmm").alias("CRSArrTime"),
-        F.when(_truthy(_get("diverted")), 1).otherwise(0).alias("Diverted"),
+        F.when(_truthy(_field("diverted")), 1).otherwise(0).alias("Diverted"),
         F.lit(0).alias("Cancelled"),
         route_type(origin, dest).alias("RouteType"),
     ]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -266,14 +265,18 @@ def write_metadata(record: DataFrame, path: str) -> None:
     record.write.mode("overwrite").json(path)
 
 
-def load_or_train(
-    spark: SparkSession, path: str, build: Callable[[], PipelineModel],
-) -> PipelineModel:
-    """The model saved under `path`; trained and saved first when there is none yet."""
+def save_run(run: Trained, path: str) -> None:
+    """Store the model and the test part it has not seen, each under its own folder."""
+    run.test.write.mode("overwrite").parquet(f"{path}/test")
+    run.model.write().overwrite().save(f"{path}/model")
+
+
+def load_run(spark: SparkSession, path: str) -> Trained | None:
+    """A stored run, or nothing where none was stored. The model is stored last."""
     try:
-        spark.read.text(f"{path}/metadata")
+        spark.read.text(f"{path}/model/metadata")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        build().write().overwrite().save(path)
-    return PipelineModel.load(path)
+        return None
+    return Trained(PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/test"))

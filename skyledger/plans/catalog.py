@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions import columns as rules
 from skyledger.operators import cleaning, graph, landing, ml, reports
-from skyledger.plans.timing import report_row_counts
+from skyledger.plans.timing import REPORT_INPUT, report_row_counts
 from skyledger.session import application_folder, fresh_folder, materialize
 from skyledger.sources import files, kafka, sinks, star
 from skyledger.sources.schemas import RAW_COLUMNS, STREAM_SCHEMA, TRAIN_SCHEMA
@@ -203,7 +202,7 @@ def top_airports(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["report_row_counts"] = lambda spark, sf: report_row_counts(
-    star.raw_flights(spark, sf, sorted(set().union(*reports.REPORT_COLUMNS.values()))))
+    star.raw_flights(spark, sf, sorted(REPORT_INPUT)))
 
 
 @query
@@ -360,29 +359,31 @@ def top_pagerank(spark: SparkSession, sf: str) -> DataFrame:
 
 # Models
 
+TRAINING_INPUT = [c for c in TRAIN_SCHEMA.fieldNames() if c not in ("FlightNum", "Cancelled")]
+
+
 def _training_flights(spark: SparkSession, sf: str) -> DataFrame:
-    return star.train_flights(
-        spark, sf, [c for c in TRAIN_SCHEMA.fieldNames() if c not in ("FlightNum", "Cancelled")])
+    return star.train_flights(spark, sf, TRAINING_INPUT)
 
 
-def _features(spark: SparkSession, sf: str, keep: list[str] | None = None) -> DataFrame:
-    flights = star.train_flights(
-        spark, sf, [c for c in TRAIN_SCHEMA.fieldNames() if c not in ("FlightNum", "Cancelled")],
-        keep=keep or [])
+def _features(spark: SparkSession, sf: str, keep: Sequence[str] = ()) -> DataFrame:
+    flights = star.train_flights(spark, sf, TRAINING_INPUT, keep=keep)
     return ml.preprocess(flights, with_label=True)
 
 
-def _model(spark: SparkSession, sf: str, kind: str) -> PipelineModel:
-    """Trained once per application and folder, then loaded by every query that scores."""
+def _run(spark: SparkSession, sf: str, kind: str) -> ml.Trained:
+    """Trained once per application and folder, then loaded by every query that needs it."""
     name = hashlib.sha256(sf.encode()).hexdigest()[:16]
-    return ml.load_or_train(
-        spark, application_folder(spark, f"model-{kind}-{name}"),
-        lambda: ml.train(_training_flights(spark, sf), kind).model)
+    path = application_folder(spark, f"run-{kind}-{name}")
+    stored = ml.load_run(spark, path)
+    if stored is None:
+        ml.save_run(ml.train(_training_flights(spark, sf), kind), path)
+        stored = ml.load_run(spark, path)
+    return stored
 
 
-def _test_metrics(spark: SparkSession, sf: str, kind: str) -> tuple[PipelineModel, DataFrame]:
-    trained = ml.train(_training_flights(spark, sf), kind)
-    return trained.model, ml.classification_metrics(trained.model.transform(trained.test))
+def _test_metrics(run: ml.Trained) -> DataFrame:
+    return ml.classification_metrics(run.model.transform(run.test))
 
 
 @query
@@ -474,25 +475,24 @@ def classification_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def logistic_model(spark: SparkSession, sf: str) -> DataFrame:
-    return _test_metrics(spark, sf, "logistic")[1]
+    return _test_metrics(_run(spark, sf, "logistic"))
 
 
 @query
 def random_forest_model(spark: SparkSession, sf: str) -> DataFrame:
-    return _test_metrics(spark, sf, "forest")[1]
+    return _test_metrics(_run(spark, sf, "forest"))
 
 
 @query
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
-    return ml.feature_importance(_model(spark, sf, "forest"))
+    return ml.feature_importance(_run(spark, sf, "forest").model)
 
 
 @query
 def model_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    model = _model(spark, sf, "forest")
-    scored = model.transform(_features(spark, sf))
+    run = _run(spark, sf, "forest")
     path = fresh_folder(spark, "metadata")
-    record = ml.model_metadata(model, ml.classification_metrics(scored))
+    record = ml.model_metadata(run.model, _test_metrics(run))
     ml.write_metadata(record, path)
     return spark.read.schema(record.schema).json(path)
 
@@ -500,18 +500,19 @@ def model_metadata(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def ml_score_batch(spark: SparkSession, sf: str) -> DataFrame:
     flights = _training_flights(spark, sf)
-    return ml.score(flights, _model(spark, sf, "forest"), [*ml.RESULT_COLUMNS, "DepDelay"])
+    return ml.score(flights, _run(spark, sf, "forest").model, [*ml.RESULT_COLUMNS, "DepDelay"])
 
 
 @query
 def ml_probabilities(spark: SparkSession, sf: str) -> DataFrame:
-    return ml.class_probabilities(_training_flights(spark, sf), _model(spark, sf, "logistic"))
+    return ml.class_probabilities(_training_flights(spark, sf), _run(spark, sf, "logistic").model)
 
 
 @query
 def stream_score(spark: SparkSession, sf: str) -> DataFrame:
     source, target = fresh_folder(spark, "score-in"), fresh_folder(spark, "score-out")
     kafka.to_kafka_json(star.train_flights(spark, sf, STREAM_COLUMNS)).write.text(source)
-    done = scorer.score_stream(scorer.json_stream(spark, source), _model(spark, sf, "forest"))
+    model = _run(spark, sf, "forest").model
+    done = scorer.score_stream(scorer.json_stream(spark, source), model)
     scorer.run_query(scorer.file_sink(done, target, fresh_folder(spark, "score-checkpoint")))
     return spark.read.schema(done.schema).parquet(target)

@@ -181,11 +181,11 @@ fields AS (
   FROM payloads
 ),
 problems AS (
-  SELECT *, CASE WHEN callsign IS NULL THEN 'null callsign'
-    WHEN origin IS NULL THEN 'null estDepartureAirport'
-    WHEN dest IS NULL THEN 'null estArrivalAirport'
-    WHEN first_seen IS NULL THEN 'bad firstSeen'
-    WHEN last_seen IS NULL THEN 'bad lastSeen' END AS problem
+  SELECT *, CASE WHEN callsign IS NULL THEN 'unusable callsign'
+    WHEN origin IS NULL THEN 'unusable estDepartureAirport'
+    WHEN dest IS NULL THEN 'unusable estArrivalAirport'
+    WHEN first_seen IS NULL THEN 'unusable firstSeen'
+    WHEN last_seen IS NULL THEN 'unusable lastSeen' END AS problem
   FROM fields
 ),
 normalized AS (

@@ -60,14 +60,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _ports(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
+def _ports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Port code of every nation, such as `EU07`."""
     nation = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    code = F.concat(
-        F.upper(F.substring("r_name", 1, 2)), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
-    return nation.select(
-        F.col("n_nationkey").alias(f"{side}_nation_key"), code.alias(f"{side}_port"))
+    return nation.select("n_nationkey", F.concat(
+        F.upper(F.substring("r_name", 1, 2)),
+        F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("port"))
 
 
 def _star(spark: SparkSession, sf_dir: str, tables: set[str]) -> DataFrame:
@@ -93,10 +92,13 @@ def _star(spark: SparkSession, sf_dir: str, tables: set[str]) -> DataFrame:
             customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
             orders = orders.join(customer, F.col("ck") == F.col("c_custkey"))
         rows = rows.join(orders, F.col("ok") == F.col("o_orderkey"))
-    for side, key in (("supplier", "s_nationkey"), ("customer", "c_nationkey")):
-        if side in tables:
-            rows = rows.join(
-                _ports(spark, sf_dir, side), F.col(key) == F.col(f"{side}_nation_key"))
+    sides = [side for side in ("supplier", "customer") if side in tables]
+    if sides:
+        ports = _ports(spark, sf_dir)
+        for side in sides:
+            nation = "s_nationkey" if side == "supplier" else "c_nationkey"
+            rows = rows.join(ports.select(
+                F.col("n_nationkey").alias(nation), F.col("port").alias(f"{side}_port")), nation)
     return rows
 
 
