@@ -207,12 +207,14 @@ QUERIES["report_row_counts"] = lambda spark, sf: report_row_counts(
 
 @query
 def repartition_stable(spark: SparkSession, sf: str) -> DataFrame:
+    """One report over two forced partitionings of the flights."""
     flights = cleaned(spark, sf, ["OP_CARRIER", "ARR_DELAY"])
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     out = None
-    for partitions in (1, 64):
+    for label, partitions in (("shuffle width", width), ("twice the width", 2 * width)):
         counted = flights.repartition(partitions).groupBy("OP_CARRIER").agg(
             F.count("*").alias("total_flights"), reports.mean("ARR_DELAY").alias("avg_arrival_delay"))
-        counted = counted.select(F.lit(partitions).alias("partitions"), "*")
+        counted = counted.select(F.lit(label).alias("partitions"), "*")
         out = counted if out is None else out.unionAll(counted)
     return out
 

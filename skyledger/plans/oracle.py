@@ -434,9 +434,9 @@ FROM clean"""),
         "report_row_counts": _sql(clean, " UNION ALL ".join(
             f"SELECT '{name}' AS report, COUNT(*) AS \"rows\" FROM ({body})"
             for name, body in _REPORTS.items())),
-        "repartition_stable": _sql(clean, f"""SELECT CAST(k AS INTEGER) AS partitions, c.*
+        "repartition_stable": _sql(clean, f"""SELECT k AS partitions, c.*
 FROM (SELECT OP_CARRIER, COUNT(*) AS total_flights, {_mean("ARR_DELAY", "avg_arrival_delay")}
-  FROM clean GROUP BY OP_CARRIER) c, (VALUES (1), (64)) AS v(k)"""),
+  FROM clean GROUP BY OP_CARRIER) c, (VALUES ('shuffle width'), ('twice the width')) AS v(k)"""),
         "aggregate_functions": _sql(clean, f"""SELECT OP_CARRIER, COUNT(*) AS flights,
   {_mean("DISTANCE", "mean_distance")},
   CAST(SUM(CASE WHEN ARR_DELAY > 15 THEN 1 ELSE 0 END) AS BIGINT) AS late_flights,
