@@ -52,8 +52,10 @@ def preprocess(df: DataFrame, with_label: bool = False) -> DataFrame:
     columns = []
     for name in [*kept, *derived]:
         value = derived.get(name, F.col(name))
-        if name in NUMERIC:
-            value = F.coalesce(value, F.lit(0).cast("double" if name == "Distance" else "int"))
+        if name == "Distance":
+            value = F.coalesce(F.nanvl(value, F.lit(0.0)), F.lit(0.0))
+        elif name in NUMERIC:
+            value = F.coalesce(value, F.lit(0))
         elif name in CATEGORICAL:
             value = F.coalesce(value, F.lit(MISSING_TEXT))
         columns.append(value.alias(name))

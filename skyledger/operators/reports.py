@@ -12,13 +12,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.columns import (
     delay_severity, distance_band, route_key, sample_stddev, share,
 )
 from skyledger.operators.cleaning import fill_report_numbers, prune
+from skyledger.operators.quantiles import with_running_total
 
 AIRPORT_COLUMNS = [
     "ORIGIN", "DEP_DELAY", "TAXI_OUT", "TAXI_IN", "CANCELLED", "OP_CARRIER", "DEST",
@@ -228,7 +229,6 @@ def overall_performance_metrics(df: DataFrame) -> DataFrame:
     Flights are first reduced to one row per arrival delay. The 95th percentile is then
     the first delay whose running count reaches 95 % of the flights: exact, and free of the
     one task that would otherwise merge a quantile sketch from every scanned partition.
-    Delays are whole minutes, so the final step sees a few thousand rows at most.
     """
     by_delay = fill_report_numbers(df).groupBy("ARR_DELAY").agg(
         F.count("*").alias("n"),
@@ -236,23 +236,28 @@ def overall_performance_metrics(df: DataFrame) -> DataFrame:
         F.sum("CANCELLED").alias("cancelled"),
         F.sum("DIVERTED").alias("diverted"),
     )
-    running = by_delay.select(
-        "*",
-        F.sum("n").over(Window.orderBy("ARR_DELAY")).alias("upto"),
-        F.sum("n").over(Window.partitionBy()).alias("all_flights"))
+    running = with_running_total(by_delay, "ARR_DELAY", "n", "upto")
+    total = running.agg(F.sum("n").alias("flights")).first()["flights"] or 0
     late, rows = F.col("ARR_DELAY"), F.col("n")
-    n, arrival = F.sum("n"), F.sum(late * rows)
-    return running.agg(
-        F.coalesce(n, F.lit(0)).alias("total_flights"),
-        share(arrival, n, 2).alias("overall_avg_arrival_delay"),
-        sample_stddev(arrival, F.sum(late * late * rows), n, 2).alias("arrival_delay_std"),
-        share(F.sum("departure"), n, 2).alias("overall_avg_departure_delay"),
-        F.round(F.min(F.when(F.col("upto") >= 0.95 * F.col("all_flights"), late)), 2)
-        .alias("95th_percentile_delay"),
-        share(F.sum("cancelled"), n, 4).alias("overall_cancellation_rate"),
-        share(F.sum("diverted"), n, 4).alias("overall_diversion_rate"),
-        F.round(F.sum(F.when(late <= 0, rows).otherwise(0)) / n * 100, 2)
-        .alias("on_time_percentage"),
+    sums = running.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.sum(late * rows).alias("arrival"),
+        F.sum(late * late * rows).alias("squares"),
+        F.sum("departure").alias("departure"),
+        F.sum("cancelled").alias("cancelled"),
+        F.sum("diverted").alias("diverted"),
+        F.sum(F.when(late <= 0, rows).otherwise(0)).alias("on_time"),
+        F.min(F.when(F.col("upto") >= 0.95 * total, late)).alias("high"))
+    n = F.col("n")
+    return sums.select(
+        n.alias("total_flights"),
+        share(F.col("arrival"), n, 2).alias("overall_avg_arrival_delay"),
+        sample_stddev(F.col("arrival"), F.col("squares"), n, 2).alias("arrival_delay_std"),
+        share(F.col("departure"), n, 2).alias("overall_avg_departure_delay"),
+        F.round("high", 2).alias("95th_percentile_delay"),
+        share(F.col("cancelled"), n, 4).alias("overall_cancellation_rate"),
+        share(F.col("diverted"), n, 4).alias("overall_diversion_rate"),
+        F.round(F.when(n > 0, F.col("on_time") / n * 100), 2).alias("on_time_percentage"),
     )
 
 

@@ -33,9 +33,9 @@ def cleaned(spark: SparkSession, sf: str, columns: list[str]) -> DataFrame:
     return cleaning.clean_flights(star.raw_flights(spark, sf, columns))
 
 
-def as_text(df: DataFrame, *times: str) -> DataFrame:
-    """Timestamps as text, so that a result does not depend on a reader's zone."""
-    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in times})
+def as_text(df: DataFrame, column: str, pattern: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
+    """A timestamp as text, so that a result does not depend on a reader's zone."""
+    return df.withColumn(column, F.date_format(column, pattern))
 
 
 # Scans and sources
@@ -70,7 +70,9 @@ def scan_flight_json(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def kafka_record_view(spark: SparkSession, sf: str) -> DataFrame:
-    return as_text(kafka.kafka_record_view(star.kafka_records(spark, sf)), "timestamp")
+    return as_text(
+        kafka.kafka_record_view(star.kafka_records(spark, sf)), "timestamp",
+        "yyyy-MM-dd HH:mm:ss.SSS")
 
 
 @query

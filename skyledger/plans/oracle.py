@@ -390,7 +390,7 @@ def oracle_sql() -> dict[str, str]:
         "kafka_record_view": _sql([PAYLOADS], """SELECT 'flights' AS topic,
   CAST(event_id % 2 AS INTEGER) AS "partition", event_id // 2 AS "offset",
   CAST(event_id AS VARCHAR) AS "key", value,
-  strftime(ts, '%Y-%m-%d %H:%M:%S') AS "timestamp"
+  strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS "timestamp"
 FROM payloads"""),
         "message_source": "SELECT 'Message ' || event_id AS value FROM events",
         "write_report_roundtrip": _sql(clean, SEVERITY),

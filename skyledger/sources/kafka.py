@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 # How the flight topic is read unless the caller says otherwise.
@@ -67,8 +67,3 @@ def kafka_record_view(df: DataFrame) -> DataFrame:
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
         "timestamp")
-
-
-def record_time(milliseconds: str) -> Column:
-    """Time of a record whose timestamp is held as milliseconds."""
-    return F.timestamp_millis(F.col(milliseconds))

@@ -210,7 +210,7 @@ def flight_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The payloads in the columns a Kafka source delivers."""
+    """The payloads in the columns a Kafka source delivers; its times are whole milliseconds."""
     e = F.col("event_id")
     return flight_payloads(spark, sf_dir).select(
         e.cast("string").cast("binary").alias("key"),
@@ -218,5 +218,5 @@ def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("flights").alias("topic"),
         (e % 2).cast("int").alias("partition"),
         F.floor(e / 2).alias("offset"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.timestamp_millis(F.unix_millis(F.col("ts").cast("timestamp"))).alias("timestamp"),
         F.lit(0).alias("timestampType"))

@@ -5,6 +5,7 @@ import pytest
 
 from skyledger.operators import reports
 from skyledger.operators.cleaning import clean_flights
+from skyledger.operators.quantiles import with_running_total
 from skyledger.sources.schemas import RAW_SCHEMA
 from skyledger.sources.star import raw_flights
 
@@ -86,3 +87,23 @@ def test_bad_dates_come_out_as_month_zero(raw):
     found = reports.time_based_analysis(clean_flights(raw))
     zero = found.filter("MONTH = 0 AND DAY_OF_WEEK = 0").groupBy().sum("flight_count").first()[0]
     assert zero == raw.filter("FL_DATE = 'n/a'").count() > 0
+
+
+@pytest.mark.parametrize("size", [0, 1, 3, 5000])
+def test_running_total_over_many_ranges(spark, size):
+    """Distinct fractional values and one very heavy row, spread over several ranges."""
+    pairs = [((i * 7919 % 5003) / 7 - 50, 1 + i % 5 + (size if i == 11 else 0))
+             for i in range(size)]
+    df = spark.createDataFrame(pairs, "v double, n long")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "false")
+        found = with_running_total(df, "v", "n", "upto").collect()
+    finally:
+        spark.conf.set(key, before)
+    total, wanted = 0, {}
+    for value, amount in sorted(pairs):
+        total += amount
+        wanted[value] = total
+    assert {r.v: r.upto for r in found} == wanted

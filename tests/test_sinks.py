@@ -141,12 +141,6 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "b1:9092", "topic": "abcd", "kafka.acks": "all"}
 
 
-def test_record_time(spark):
-    df = spark.createDataFrame([(1704067200123,)], "ms long")
-    found = df.select(kafka.record_time("ms").cast("string")).first()[0]
-    assert found == "2024-01-01 00:00:00.123"
-
-
 def test_json_keeps_null_fields(spark):
     df = spark.createDataFrame([("a", None)], "x string, y double")
     assert kafka.to_kafka_json(df).first().value == '{"x":"a","y":null}'
