@@ -268,17 +268,17 @@ def write_metadata(record: DataFrame, path: str) -> None:
 
 
 def save_run(run: Trained, path: str) -> None:
-    """Store the model and the test part it has not seen, each under its own folder."""
-    run.test.write.mode("overwrite").parquet(f"{path}/test")
+    """Store the model and then the test part it has not seen, each under its own folder."""
     run.model.write().overwrite().save(f"{path}/model")
+    run.test.write.mode("overwrite").parquet(f"{path}/test")
 
 
 def load_run(spark: SparkSession, path: str) -> Trained | None:
-    """A stored run, or nothing where none was stored. The model is stored last."""
+    """A stored run, or nothing where none was stored or storing it did not finish."""
     try:
-        spark.read.text(f"{path}/model/metadata")
+        test = spark.read.parquet(f"{path}/test")
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
-    return Trained(PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/test"))
+    return Trained(PipelineModel.load(f"{path}/model"), test)

@@ -17,7 +17,8 @@ SPARK_TO_DUCK = {
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for file in Path(sf_dir).glob("*.parquet"):
-        con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+        files = f"{file}/*.parquet" if file.is_dir() else file
+        con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{files}'")
     return con
 
 
