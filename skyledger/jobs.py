@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.operators import graph, landing, ml
 from skyledger.plans import timing
-from skyledger.session import build_session
+from skyledger.session import build_session, discard_application_folder
 from skyledger.sources import files, kafka, sinks
 from skyledger.streaming import scorer
 
@@ -175,6 +175,7 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         args.run_job(session, args)
     finally:
         if spark is None:
+            discard_application_folder(session)
             session.stop()
 
 

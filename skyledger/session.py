@@ -73,3 +73,15 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard_application_folder(spark: SparkSession) -> None:
+    """Delete the tables this application wrote to the shared folder.
+
+    Call it once no result is needed that still reads them, such as at the end of a job.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and spark.sparkContext.getCheckpointDir() is None:
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark, ""))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

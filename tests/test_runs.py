@@ -76,6 +76,19 @@ def test_materialized_table_is_read_back_unchanged(spark):
     assert sorted(map(tuple, back.select(df.columns).collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_discarding_leaves_other_folders_alone(spark, monkeypatch):
+    kept = session.materialize(spark.range(3), "kept")
+    here = session.application_folder(spark, "")
+    monkeypatch.setattr(session, "application_folder", lambda s, name: f"{here}inner/{name}")
+    gone = session.materialize(spark.range(3), "gone")
+    assert gone.count() == 3
+    session.discard_application_folder(spark)
+    session.discard_application_folder(spark)
+    assert kept.count() == 3
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        gone.collect()
+
+
 def test_no_row_wise_python_and_no_local_checkpoint():
     """The library stays on built-in expressions and reliable storage."""
     text = "".join(p.read_text() for p in Path(session.__file__).parent.rglob("*.py"))
