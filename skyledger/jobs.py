@@ -62,6 +62,7 @@ def rank(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
     flights = files.read_training_csv(spark, args.input, header=not args.no_header)
+    sinks.show_top(ml.class_distribution(ml.preprocess(flights, with_label=True)))
     ml.save_run(ml.train(flights, args.kind), args.run)
     run = ml.load_run(spark, args.run)
     scored = run.model.transform(run.test)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -18,6 +19,8 @@ from pyspark.sql.types import (
 from skyledger.functions.columns import delay_class, describe_prediction, hhmm_hour, hhmm_minute
 from skyledger.session import materialize
 
+log = logging.getLogger(__name__)
+
 LABEL = "DelayCategory"
 CATEGORICAL = ["UniqueCarrier", "Origin", "Dest", "RouteType"]
 NUMERIC = [
@@ -94,7 +97,9 @@ def oversample(df: DataFrame, label: str = LABEL, seed: int = SEED) -> DataFrame
     for value in (1, 2, 3):
         part = df.filter(F.col(label) == value)
         if sizes.get(value):
-            part = part.sample(True, largest / sizes[value], seed)
+            ratio = largest / sizes[value]
+            log.info("class %d: %d rows, each drawn %.2f times on average", value, sizes[value], ratio)
+            part = part.sample(True, ratio, seed)
         out = out.unionAll(part)
     return out
 

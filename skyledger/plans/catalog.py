@@ -195,7 +195,9 @@ for _name in reports.REPORTS:
 
 @query
 def airport_metrics_join(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.airport_metrics_join(cleaned(spark, sf, reports.AIRPORT_COLUMNS))
+    # three aggregates read the flights, so the joins behind them are run once and written
+    flights = materialize(cleaned(spark, sf, reports.AIRPORT_COLUMNS), "airport-flights")
+    return reports.airport_metrics_join(flights)
 
 
 @query
@@ -246,7 +248,8 @@ def distinct_airports(spark: SparkSession, sf: str) -> DataFrame:
 def union_classes(spark: SparkSession, sf: str) -> DataFrame:
     flights = star.train_flights(spark, sf, ["DepDelay"], keep=KEYS).withColumn(
         ml.LABEL, rules.delay_class("DepDelay"))
-    return ml.union_classes(flights, ml.LABEL, [0, 1, 2, 3])
+    by_class = materialize(flights, "classes", [ml.LABEL])
+    return ml.union_classes(by_class, ml.LABEL, [0, 1, 2, 3])
 
 
 # Scalar functions
@@ -445,14 +448,15 @@ def train_test_split(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def string_index(spark: SparkSession, sf: str) -> DataFrame:
-    flights = _features(spark, sf).select(*ml.CATEGORICAL)
+    flights = materialize(_features(spark, sf).select(*ml.CATEGORICAL), "categories")
     return ml.indexers().fit(flights).transform(flights)
 
 
 @query
 def ml_vector(spark: SparkSession, sf: str) -> DataFrame:
     """Per flight: length of the vector, its numeric slots, and the slot set for each category."""
-    features = _features(spark, sf)
+    features = materialize(
+        _features(spark, sf).select(*ml.NUMERIC, *ml.CATEGORICAL), "features")
     fitted = ml.Pipeline(stages=ml.feature_stages("features")).fit(features)
     numbers = len(ml.NUMERIC)
     out = [F.size("slots").alias("length")]
