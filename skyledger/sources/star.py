@@ -7,9 +7,11 @@ a report on carriers never shuffles orders. No join is hinted: sizes decide.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from skyledger.functions.columns import delay_class, route_type
 from skyledger.sources.schemas import RAW_COLUMNS, TRAIN_SCHEMA
@@ -56,8 +58,15 @@ _RULES: dict[str, tuple[set[str], str]] = {
 }
 
 
+@lru_cache(maxsize=None)
+def _schema(path: str) -> StructType:
+    """Columns of a table; its footer is read once, not once for every query."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
 
 
 def _ports(spark: SparkSession, sf_dir: str) -> DataFrame:
