@@ -3,8 +3,9 @@
 import __spark_entry__ as entry
 import pytest
 from compare import connect, differences
+from skyledger.plans import catalog, oracle
 
-SQL = entry.oracle_sql()
+SQL = oracle.oracle_sql()
 MODELS = {
     "logistic_model", "random_forest_model", "feature_importance", "model_metadata",
     "ml_score_batch", "ml_probabilities", "stream_score",
@@ -18,12 +19,14 @@ def con(sf_dir):
 
 @pytest.mark.parametrize("key", sorted(SQL))
 def test_equals_sql(spark, sf_dir, con, key):
-    assert differences(entry.queries()[key](spark, sf_dir), con, SQL[key]) == []
+    assert differences(catalog.QUERIES[key](spark, sf_dir), con, SQL[key]) == []
 
 
 def test_only_models_have_no_sql():
-    assert set(entry.queries()) - set(SQL) == MODELS
-    assert set(SQL) <= set(entry.queries())
+    assert set(catalog.QUERIES) - set(SQL) == MODELS
+    assert set(SQL) <= set(catalog.QUERIES)
+    assert set(catalog.QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
