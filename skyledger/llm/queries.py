@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import bpe_automaton, token_counts
+from skyledger.llm import bpe_automaton, quality_ledger, token_counts, toxicity
 from skyledger.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,3 +30,17 @@ def op6_bpe_codec(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf, "documents"), VOCABULARY)
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_ledger.judge(quality_ledger.ledger(read_table(spark, sf, "documents")))
+
+
+ORACLE_SQL["op8_quality_rules"] = quality_ledger.ORACLE_SQL
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.score_held_out(
+        read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
