@@ -7,7 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.llm import bpe_automaton, quality_ledger, token_counts, toxicity
+from skyledger.llm import (
+    bpe_automaton,
+    language_id,
+    quality_ledger,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from skyledger.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,3 +51,13 @@ ORACLE_SQL["op8_quality_rules"] = quality_ledger.ORACLE_SQL
 def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score_held_out(
         read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+
+
+@query
+def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return language_id.predict_held_out(read_table(spark, sf, "documents"))
+
+
+@query
+def op3_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf, "documents"))
