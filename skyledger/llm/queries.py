@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm import (
     bpe_automaton,
+    decontamination,
     language_id,
     quality_ledger,
     simhash,
@@ -61,3 +62,13 @@ def op7_language_id(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op3_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf, "documents"))
+
+
+@query
+def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontamination.decontaminate(
+        read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+    return found.drop("text_key")
+
+
+ORACLE_SQL["op2_decontamination"] = decontamination.ORACLE_SQL
