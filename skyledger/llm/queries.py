@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from skyledger.llm import (
     bpe_automaton,
     decontamination,
+    kneser_ney,
     language_id,
     quality_ledger,
     simhash,
@@ -72,3 +73,8 @@ def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ORACLE_SQL["op2_decontamination"] = decontamination.ORACLE_SQL
+
+
+@query
+def op5_kneser_ney(spark: SparkSession, sf: str) -> DataFrame:
+    return kneser_ney.score_held_out(read_table(spark, sf, "documents"))
