@@ -16,6 +16,7 @@ from skyledger.llm import (
     simhash,
     token_counts,
     toxicity,
+    warc,
 )
 from skyledger.llm.common import read_table
 
@@ -78,3 +79,8 @@ ORACLE_SQL["op2_decontamination"] = decontamination.ORACLE_SQL
 @query
 def op5_kneser_ney(spark: SparkSession, sf: str) -> DataFrame:
     return kneser_ney.score_held_out(read_table(spark, sf, "documents"))
+
+
+@query
+def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.archive_pages(read_table(spark, sf, "pages"))
