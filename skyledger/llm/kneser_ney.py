@@ -14,77 +14,32 @@ touch are read in order and can be dropped again at any time.
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import bucket_of, slices, texts_of
+from skyledger.llm.hashing import BASE, ODD, grouped, mapped, mix, word_hashes, write_table
 from skyledger.session import fresh_folder
 
 # Tokens that a task counts before it sends its blocks, and bigram tokens for each shard.
 TASK_TOKENS, SHARD_TOKENS = 4_000_000, 4_000_000
 # The bigrams of one context go to up to this many shards.
 SPREAD = 16
-# Tokens that are looked up at once, and bytes that are hashed at once.
-BATCH_TOKENS, PIECE = 2_000_000, 1 << 20
+# Tokens that are looked up at once.
+BATCH_TOKENS = 2_000_000
 
-_ODD = 0x9E3779B97F4A7C15
-_BASE = 0x2545F4914F6CDD1D
 END, START = np.uint64(1), np.uint64(2)
 WORD = np.dtype([("count", "<u8"), ("before", "<u4"), ("n1", "<u4"), ("n2", "<u4"),
                  ("n3", "<u4")])
 KEYED = np.dtype([("key", "<u8"), *WORD.descr])
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A mixing of 64 bits that loses nothing (the finaliser of splitmix64)."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-@lru_cache(maxsize=4)
-def _powers(base: int, size: int) -> np.ndarray:
-    powers = np.full(size, base, np.uint64)
-    powers[0] = 1
-    return np.cumprod(powers, dtype=np.uint64)
-
-
-def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each word of the bytes starts, and its hash.
-
-    The hash is that of the polynomial of the word's bytes modulo 2^64, taken from running
-    sums over a piece of the bytes that ends between two words.
-    """
-    space = (data == 32) | ((data >= 9) & (data <= 13))
-    edge = np.flatnonzero(np.diff(space.astype(np.int8), prepend=1, append=1))
-    starts, ends = edge[::2], edge[1::2]
-    hashes = np.empty(len(starts), np.uint64)
-    first = 0
-    while first < len(starts):
-        origin = starts[first]
-        last = max(first + 1, int(np.searchsorted(ends, origin + PIECE, "right")))
-        piece = data[origin:ends[last - 1]]
-        size = 1 << max(20, int(len(piece)).bit_length())
-        sums = np.zeros(len(piece) + 1, np.uint64)
-        np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, size)[:len(piece)],
-                  out=sums[1:])
-        a, b = starts[first:last] - origin, ends[first:last] - origin
-        whole = (sums[b] - sums[a]) * _powers(pow(_BASE, -1, 1 << 64), size)[a]
-        hashes[first:last] = _mix(whole ^ ((b - a).astype(np.uint64) * np.uint64(_ODD)))
-        first = last
-    return starts, np.where(hashes <= START, hashes + np.uint64(3), hashes)
-
-
 def tokens_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the texts' words, an END behind each text; and the tokens of each text.
 
@@ -93,7 +48,7 @@ def tokens_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     parts = [text.encode() for text in texts]
     data = np.frombuffer(b"\n".join([*parts, b""]), np.uint8)
     data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
-    starts, words = _word_hashes(data)
+    starts, words = word_hashes(data)
     text_ends = np.cumsum(np.array([len(part) + 1 for part in parts], np.int64))
     before = np.searchsorted(starts, text_ends)
     return np.insert(words, before, END), np.diff(before, prepend=0) + 1
@@ -108,29 +63,16 @@ def _contexts(tokens: np.ndarray, sizes: np.ndarray, start=START) -> np.ndarray:
 
 
 def _pair_key(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return _mix(context * np.uint64(_ODD) + word)
+    return mix(context * np.uint64(ODD) + word)
 
 
 def _shard(context: np.ndarray, word: np.ndarray, shards: int) -> np.ndarray:
-    spread = _mix(word ^ np.uint64(_BASE)) % np.uint64(SPREAD)
-    return (_mix(context + spread * np.uint64(_ODD)) % np.uint64(shards)).astype(np.int64)
+    spread = mix(word ^ np.uint64(BASE)) % np.uint64(SPREAD)
+    return (mix(context + spread * np.uint64(ODD)) % np.uint64(shards)).astype(np.int64)
 
 
 def _word_shard(word: np.ndarray, shards: int) -> np.ndarray:
-    return (_mix(word + np.uint64(_BASE)) % np.uint64(shards)).astype(np.int64)
-
-
-def _grouped(keys: list[np.ndarray], values: list[np.ndarray]):
-    """Distinct rows of `keys`, in order, and the sums of `values` over equal rows."""
-    order = np.lexsort(keys[::-1])
-    keys = [key[order] for key in keys]
-    fresh = np.ones(len(order), bool)
-    if len(order):
-        fresh[1:] = np.logical_or.reduce([key[1:] != key[:-1] for key in keys])
-    at = np.flatnonzero(fresh)
-    sums = [np.add.reduceat(v[order].astype(np.int64), at) if len(at) else v[:0].astype(np.int64)
-            for v in values]
-    return [key[at] for key in keys], sums
+    return (mix(word + np.uint64(BASE)) % np.uint64(shards)).astype(np.int64)
 
 
 def _pack_pairs(context: np.ndarray, word: np.ndarray, n: np.ndarray) -> bytes:
@@ -169,7 +111,7 @@ def _blocks(shards: int):
 
         def flush() -> pa.RecordBatch:
             keys = [np.concatenate([p[i] for p in parts]) for i in (0, 1)]
-            (context, word), (n,) = _grouped(keys, [np.ones(len(keys[0]), np.int64)])
+            (context, word), (n,) = grouped(keys, [np.ones(len(keys[0]), np.int64)])
             home = _shard(context, word, shards)
             order = np.argsort(home, kind="stable")
             cuts = np.searchsorted(home[order], np.arange(shards + 1))
@@ -195,54 +137,21 @@ def _blocks(shards: int):
     return run
 
 
-def _filesystem(folder: str) -> tuple[pa.fs.FileSystem, str]:
-    if "://" not in folder and not folder.startswith("file:"):
-        return pa.fs.LocalFileSystem(), folder
-    return pa.fs.FileSystem.from_uri(folder.replace("file:///", "file:/").replace(
-        "file:/", "file:///"))
-
-
-def _write(folder: str, name: str, keys: np.ndarray, rows: np.ndarray) -> None:
-    """Write sorted keys and their rows, each file whole or not at all.
-
-    A task that runs again replaces its own files by equal ones.
-    """
-    files, root = _filesystem(folder)
-    files.create_dir(root, recursive=True)
-    for part, table in (("keys", keys), ("rows", rows)):
-        draft = f"{root}/.{name}-{uuid.uuid4().hex}"
-        with files.open_output_stream(draft) as out:
-            out.write(np.ascontiguousarray(table).tobytes())
-        files.move(draft, f"{root}/{name}.{part}")
-
-
-def _mapped(folder: str, name: str, kind: np.dtype) -> np.ndarray:
-    """A model file as an array; mapped if the folder is a path that every host mounts."""
-    files, root = _filesystem(folder)
-    path = f"{root}/{name}"
-    if not files.get_file_info(path).size:
-        return np.zeros(0, kind)
-    if isinstance(files, pa.fs.LocalFileSystem):
-        return np.memmap(path, kind, "r")
-    with files.open_input_file(path) as source:
-        return np.frombuffer(source.read_buffer(), kind)
-
-
 def _merge_pairs(folder: str, shards: int):
     """Write each shard's bigram counts; pass on what they say about words, by word shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, parts = None, []
 
         def finish() -> Iterator[pa.RecordBatch]:
-            (context, word), (n,) = _grouped(
+            (context, word), (n,) = grouped(
                 [np.concatenate([p[i] for p in parts]) for i in (0, 1)],
                 [np.concatenate([p[2] for p in parts])])
             pairs = _pair_key(context, word)
             order = np.argsort(pairs)
-            _write(folder, f"pairs-{shard}", pairs[order], n[order].astype("<u8"))
+            write_table(folder, f"pairs-{shard}", pairs[order], n[order].astype("<u8"))
             ones = [(n == 1), (n == 2), (n >= 3)]
-            (heads,), sums = _grouped([context], [n, *ones])
-            (tails,), (before,) = _grouped([word], [np.ones(len(word), np.int64)])
+            (heads,), sums = grouped([context], [n, *ones])
+            (tails,), (before,) = grouped([word], [np.ones(len(word), np.int64)])
             words = np.zeros(len(heads) + len(tails), KEYED)
             first = words[:len(heads)]
             first["key"] = heads
@@ -279,11 +188,11 @@ def _merge_words(folder: str):
         def finish() -> pa.RecordBatch:
             rows = np.concatenate(parts)
             names = ("count", "before", "n1", "n2", "n3")
-            (keys,), sums = _grouped([rows["key"]], [rows[name] for name in names])
+            (keys,), sums = grouped([rows["key"]], [rows[name] for name in names])
             table = np.zeros(len(keys), WORD)
             for name, values in zip(names, sums, strict=True):
                 table[name] = values
-            _write(folder, f"words-{shard}", keys, table)
+            write_table(folder, f"words-{shard}", keys, table)
             before, real = table["before"], keys != START
             kinds = [int((before[real] == k).sum()) for k in range(1, 5)]
             return pa.RecordBatch.from_arrays(
@@ -375,8 +284,8 @@ class Scorer:
         if (name, shard) not in self._files:
             kind = WORD if name == "words" else np.dtype("<u8")
             self._files[name, shard] = (
-                _mapped(self.model.folder, f"{name}-{shard}.keys", np.dtype("<u8")),
-                _mapped(self.model.folder, f"{name}-{shard}.rows", kind))
+                mapped(self.model.folder, f"{name}-{shard}.keys", np.dtype("<u8")),
+                mapped(self.model.folder, f"{name}-{shard}.rows", kind))
         return self._files[name, shard]
 
     def _look_up(self, name: str, keys: np.ndarray, homes: np.ndarray) -> np.ndarray:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import materialize, slices
+from skyledger.llm.hashing import filesystem
 from skyledger.session import fresh_folder
 
 # Bytes of payload after which an archive is closed; one larger record is an archive of its own.
@@ -69,15 +70,6 @@ def warc_record(page_id, url: str | None, payload: bytes, digest: str, first) ->
     return b"WARC/1.1\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
-def _files(folder: str) -> tuple[pa.fs.FileSystem, str]:
-    """The file system and plain path of a folder; any scheme that pyarrow knows."""
-    if ":" not in folder:
-        return pa.fs.LocalFileSystem(), folder
-    if folder.startswith("file:"):
-        folder = "file://" + folder.removeprefix("file:").replace("//", "", 1)
-    return pa.fs.FileSystem.from_uri(folder)
-
-
 class _Whole:
     """A file that appears under its name when it is complete, and not before."""
 
@@ -100,7 +92,7 @@ class _Whole:
 
 def _writer(folder: str) -> Callable[[Iterator], Iterator]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, root = _files(folder)
+        files, root = filesystem(folder)
         out, deflate, held, names = None, None, 0, []
 
         def finish() -> None:
@@ -203,8 +195,8 @@ def _index_line(fields: dict[str, str], offset: int, length: int) -> dict:
 
 def _normaliser(source: str, target: str) -> Callable[[Iterator], Iterator]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, root = _files(source)
-        outputs, out_root = _files(target)
+        files, root = filesystem(source)
+        outputs, out_root = filesystem(target)
         for batch in batches:
             for name in batch.column("archive").to_pylist():
                 out, lines = _Whole(outputs, f"{out_root}/{name}"), []
@@ -243,7 +235,7 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     have the digest that its header states; a revisit states those of the payload it repeats.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, root = _files(folder)
+        files, root = filesystem(folder)
         name, source = None, None
         for batch in batches:
             rows = []
