@@ -14,6 +14,7 @@ from skyledger.llm import (
     language_id,
     quality_ledger,
     simhash,
+    suffix_dedup,
     token_counts,
     toxicity,
     warc,
@@ -84,3 +85,8 @@ def op5_kneser_ney(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.archive_pages(read_table(spark, sf, "pages"))
+
+
+@query
+def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.passages(read_table(spark, sf, "documents"))
