@@ -120,12 +120,13 @@ def _document_rows(docs: DataFrame) -> DataFrame:
 
 def _short_hits(docs: DataFrame, short: DataFrame, sizes: list[int]) -> DataFrame:
     """Places of items shorter than a window: every run of so many words is looked up."""
+    def of_size(words: Column, size: int) -> Column:
+        return F.transform(_positions(F.size(words) - size + 1), lambda at: F.struct(
+            at.alias("start"), F.lit(size).alias("size"),
+            _hash(words, at, size).alias("first"), _hash(words, at, size, 1).alias("second")))
+
     def runs(words: Column) -> Column:
-        return F.concat(*(F.transform(
-            _positions(F.size(words) - n + 1),
-            lambda at, n=n: F.struct(at.alias("start"), F.lit(n).alias("size"),
-                                     _hash(words, at, n).alias("first"),
-                                     _hash(words, at, n, 1).alias("second"))) for n in sizes))
+        return F.concat(*(of_size(words, size) for size in sizes))
 
     rows = docs.select(*DOC, F.explode(_let(words_of(docs["text"]), runs)).alias("r"))
     return rows.select(*DOC, "r.*").join(short, ["size", "first", "second"]).select(
