@@ -64,21 +64,20 @@ def _slots(points: np.ndarray) -> Iterator[np.ndarray]:
     """For each order, the feature of the n-gram that starts at each code point."""
     odd = np.uint64(0x9E3779B97F4A7C15)
     for order in ORDERS:
-        code = np.full(len(points) - order + 1, order, np.uint64)
+        count = max(0, len(points) - order + 1)
+        code = np.full(count, order, np.uint64)
         for i in range(order):
-            code = (code ^ points[i:len(points) - order + 1 + i]) * odd
+            code = (code ^ points[i:count + i]) * odd
             code ^= code >> np.uint64(29)
         yield (code >> np.uint64(64 - BITS)).astype(np.int32)
 
 
-def _pieces(points: np.ndarray) -> Iterator[np.ndarray]:
-    """The points in pieces that overlap so that every n-gram starts in exactly one."""
-    overlap = max(ORDERS) - 1
-    if len(points) <= PIECE:
-        yield points
-        return
-    for start in range(0, len(points) - overlap, PIECE):
-        yield points[start:start + PIECE + overlap]
+def _slots_by_piece(points: np.ndarray) -> Iterator[np.ndarray]:
+    """The features of every n-gram once, PIECE starts at a time."""
+    for start in range(0, len(points), PIECE):
+        last = start + PIECE >= len(points)
+        for slots in _slots(points[start:start + PIECE + max(ORDERS) - 1]):
+            yield slots if last else slots[:PIECE]
 
 
 def _shares(text: str) -> tuple[list[int], list[float]] | None:
@@ -87,9 +86,8 @@ def _shares(text: str) -> tuple[list[int], list[float]] | None:
     if not (points != 32).any():
         return None
     counts = np.zeros(1 << BITS)
-    for piece in _pieces(points):
-        for slots in _slots(piece):
-            counts += np.bincount(slots, minlength=1 << BITS)
+    for slots in _slots_by_piece(points):
+        counts += np.bincount(slots, minlength=1 << BITS)
     found = np.flatnonzero(counts)
     return found.tolist(), (counts[found] / counts.sum()).tolist()
 
@@ -203,9 +201,10 @@ def _margins(texts: list[str], machines: list[Machine]) -> tuple[np.ndarray, np.
         if not lettered[row]:
             continue
         if len(points) > PIECE:
-            for piece in _pieces(points):
-                # an overlap holds starts of shorter n-grams that the next piece counts again
-                _add_piece(piece, row, machines, sums, counts, last=len(piece) < PIECE + 2)
+            for slots in _slots_by_piece(points):
+                counts[row] += len(slots)
+                for k, m in enumerate(machines):
+                    sums[row, k] += m.weights[slots].sum(dtype=np.float64)
             continue
         if held + len(points) > PIECE:
             flush()
@@ -216,14 +215,6 @@ def _margins(texts: list[str], machines: list[Machine]) -> tuple[np.ndarray, np.
     return sums / np.maximum(counts, 1)[:, None], lettered
 
 
-def _add_piece(piece, row, machines, sums, counts, last) -> None:
-    for slots in _slots(piece):
-        mine = slots if last else slots[:PIECE]
-        counts[row] += len(mine)
-        for k, m in enumerate(machines):
-            sums[row, k] += m.weights[mine].sum(dtype=np.float64)
-
-
 def _winner(names: list[str], machines: list[Machine], margins: dict[tuple[str, str], float]):
     """The name with most one-versus-one wins, then the largest margin; and its confidence."""
     if len(names) == 1:

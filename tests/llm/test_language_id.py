@@ -1,0 +1,72 @@
+"""Language identification: held-out accuracy, and rows of any kind."""
+
+import zlib
+
+import numpy as np
+from cases import odd_documents
+from skyledger.llm import language_id, queries
+from skyledger.llm.common import bucket_of
+
+EN = "the cat and the dog are with this house that was not of them {}"
+DE = "der hund und die katze sind nicht mit dem haus {} das war ein schönes"
+FR = "le chat et la maison sont avec des amis {} pour une journée dans les bois"
+ES = "el perro y la casa son con los amigos {} para una noche en las montañas"
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    found = language_id.predict_held_out(docs.where("n_chars > 60")).collect()
+    held = [r for r in found if r.held_out]
+    assert {r.doc_id for r in held} == {
+        r.doc_id for r in found if zlib.crc32(str(r.doc_id).encode()) % 4 == 2}
+    assert np.mean([r.lang_pred == lang[r.doc_id] for r in held]) > 0.97
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_rows_of_any_kind(spark):
+    rows = [(i, text.format(i), lang) for i in range(12)
+            for text, lang in ((EN, "en"), (DE, "de"), (FR, "fr"), (ES, "es"))]
+    rows += [(50, None, "en"), (51, "12 .. !", "de"), (52, "  ", None), (53, DE, ""), (54, FR, None)]
+    train = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.learn(language_id.training_sample(train, bucket_of("doc_id", 4) != 9))
+    assert model.families == {"germanic": ["de", "en"], "romance": ["es", "fr"]}
+    tests = [(1, None), (2, ""), (3, "42 %"), (4, EN), (4, EN), (None, ES), (5, DE * 30_000),
+             (6, "ß"), (7, FR.upper())]
+    found = language_id.predict(odd_documents(spark, tests), model).collect()
+    assert sorted((str(r.doc_id), r.lang_pred) for r in found if r.doc_id != 6) == sorted(
+        [("1", "und"), ("2", "und"), ("3", "und"), ("4", "en"), ("4", "en"), ("None", "es"),
+         ("5", "de"), ("7", "fr")])
+    assert all(r.score == 0 and r.family is None for r in found if r.lang_pred == "und")
+    assert language_id.predict(odd_documents(spark).limit(0), model).count() == 0
+    nothing = language_id.learn(language_id.training_sample(train.limit(0), bucket_of(
+        "doc_id", 4) != 2))
+    assert {r.lang_pred for r in language_id.predict(train, nothing).collect()} == {"und"}
+
+
+def test_long_texts_are_scored_whole(monkeypatch):
+    weights = np.random.default_rng(0).normal(size=1 << language_id.BITS).astype(np.float32)
+    machine = language_id.Machine("a", "b", weights, 0.0)
+    texts = [EN * 40, DE * 7, "", "x", FR * 3]
+    whole, known = language_id._margins(texts, [machine])
+    monkeypatch.setattr(language_id, "PIECE", 100)
+    pieces, again = language_id._margins(texts, [machine])
+    assert np.allclose(whole, pieces, atol=1e-6) and (known == again).all()
+    for text, margin in zip(texts, whole[:, 0], strict=True):
+        shares = language_id._shares(text)
+        want = 0 if shares is None else float(np.dot(weights[shares[0]], shares[1]))
+        assert abs(margin - want) < 1e-6
+
+
+def test_one_family_and_one_language(spark):
+    rows = [(i, DE.format(i), "de") for i in range(6)] + [(9, "xyz", "qq")]
+    train = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.learn(language_id.training_sample(train, bucket_of("doc_id", 4) != 9))
+    assert model.families == {"germanic": ["de"], "qq": ["qq"]}
+    found = language_id.predict(train, model).collect()
+    assert {(r.doc_id == 9, r.lang_pred) for r in found} == {(False, "de"), (True, "qq")}
+
+
+def test_query_covers_every_document(spark, sf_dir):
+    found = queries.op7_language_id(spark, sf_dir)
+    assert found.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
