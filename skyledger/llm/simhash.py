@@ -197,7 +197,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     the smallest doc_id of the class, null if it has none. An empty table gives an empty result.
     """
     rows = classes(docs, shingle)
-    least = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # written, so that the join deals its rows out anew and can split those of a large class
+    least = materialize(rows.groupBy("root").agg(F.min("doc_id").alias("component_id")), "classes")
     return rows.join(least, "root").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
