@@ -108,7 +108,6 @@ def share(total: Column, rows: Column, places: int) -> Column:
     return F.round(F.when(rows > 0, total / rows), places)
 
 
-def sample_stddev(total: Column, squares: Column, rows: Column, places: int) -> Column:
-    """Rounded sample deviation out of mergeable sums; null for fewer than two values."""
-    spread = F.greatest(squares - total * total / rows, F.lit(0.0)) / (rows - 1)
-    return F.round(F.when(rows > 1, F.sqrt(spread)), places)
+def sample_stddev(squares: Column, rows: Column, places: int) -> Column:
+    """Rounded sample deviation out of squared distances from the mean; null below two values."""
+    return F.round(F.when(rows > 1, F.sqrt(squares / (rows - 1))), places)

@@ -61,7 +61,7 @@ def rank(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
-    flights = files.read_training_csv(spark, args.input, header=not args.no_header)
+    flights = files.read_training_csv(spark, args.input, header=args.header)
     sinks.show_top(ml.class_distribution(ml.preprocess(flights, with_label=True)))
     ml.save_run(ml.train(flights, args.kind), args.run)
     run = ml.load_run(spark, args.run)
@@ -82,7 +82,7 @@ def _stored(spark: SparkSession, path: str) -> ml.Trained:
 
 
 def score(spark: SparkSession, args: argparse.Namespace) -> None:
-    flights = files.read_training_csv(spark, args.input, header=not args.no_header)
+    flights = files.read_training_csv(spark, args.input, header=args.header)
     model = _stored(spark, args.run).model
     scored = ml.score(flights, model, [*ml.RESULT_COLUMNS, "DepDelay"])
     if args.output:
@@ -147,10 +147,10 @@ def parser() -> argparse.ArgumentParser:
     one.add_argument("--top", type=int, default=10)
     one = job(train, "train, evaluate and store a classifier", "input", "run")
     one.add_argument("--kind", choices=["logistic", "forest"], default="forest")
-    one.add_argument("--no-header", action="store_true")
+    one.add_argument("--header", action="store_true", help="the files start with column names")
     one = job(score, "score flights with a stored classifier", "input", "run")
     one.add_argument("--output")
-    one.add_argument("--no-header", action="store_true")
+    one.add_argument("--header", action="store_true", help="the files start with column names")
     one = job(export, "turn landed payloads into a CSV table", "input", "output")
     one.add_argument("--rejects", help="folder of the records that cannot be used")
     one = job(publish, "send landed payloads to a Kafka topic as flights", "input")

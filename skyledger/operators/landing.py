@@ -1,15 +1,14 @@
 """Landed flight payloads turned into flight rows.
 
-A payload key that is absent takes a default, while one that is present but null makes
-the record unusable. A parsed struct shows both as null, so the keys of a record are looked at
-as well, but only where some field came out null.
+A payload key that is absent takes a default, while one that is present but null, or of a
+type that cannot be used, makes the record unusable. A record is parsed once, into a variant,
+which tells absent, null and every other type of a field apart.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from skyledger.functions.columns import route_type
 
@@ -20,19 +19,9 @@ WEEK = 7 * 24 * HOUR
 FIRST_SECOND = -62135596800
 LAST_SECOND = 253402300799
 
-# Texts of a JSON value that count as false.
-FALSE_TEXT = ["", "false", "0", "0.0", "[]", "{}"]
-
-PAYLOAD_SCHEMA = StructType([
-    StructField("callsign", StringType()),
-    StructField("estDepartureAirport", StringType()),
-    StructField("estArrivalAirport", StringType()),
-    StructField("firstSeen", DoubleType()),
-    StructField("lastSeen", DoubleType()),
-    StructField("estDepartureAirportHorizDistance", DoubleType()),
-    StructField("scheduledDepartureTime", StringType()),
-    StructField("diverted", StringType()),
-])
+# Names of variant types.
+TEXT, FLAG, NULL = "STRING", "BOOLEAN", "VOID"
+NUMBER = "^(BIGINT|DECIMAL|DOUBLE)"
 
 _REQUIRED_TEXT = ["callsign", "estDepartureAirport", "estArrivalAirport"]
 _REQUIRED_TIME = ["firstSeen", "lastSeen"]
@@ -40,20 +29,37 @@ _PLANNED = "scheduledDepartureTime"
 _DISTANCE = "estDepartureAirportHorizDistance"
 
 
-def _field(key: str) -> Column:
-    return F.col(f"payload.{key}")
+def _as(key: str, kind: str) -> Column:
+    return F.try_variant_get("payload", f"$.{key}", kind)
+
+
+def _kind(key: str) -> Column:
+    """The type of a field's value; null where the key is absent."""
+    return F.schema_of_variant(_as(key, "variant"))
 
 
 def _moment(seconds: Column) -> Column:
     return F.when(seconds.between(FIRST_SECOND, LAST_SECOND), seconds)
 
 
-def _truthy(value: Column) -> Column:
-    return value.isNotNull() & ~F.lower(value).isin(FALSE_TEXT)
+def _seconds(key: str) -> Column:
+    """A time in seconds: a number, or a flag as 0 or 1."""
+    kind = _kind(key)
+    return _moment(F.when(kind.rlike(NUMBER), _as(key, "double"))
+                   .when(kind == FLAG, _as(key, "boolean").cast("double")))
 
 
-def _planned() -> Column:
-    return _moment(_field(_PLANNED).try_cast("double"))
+def _truthy(key: str) -> Column:
+    """Whether a value counts as true: any but null, zero, false and what is empty.
+
+    A text counts by its length alone, so "false" and "0" are true.
+    """
+    kind, text = _kind(key), _as(key, "string")
+    return F.coalesce(
+        F.when(kind.rlike(NUMBER), _as(key, "double") != 0)
+        .when(kind == FLAG, _as(key, "boolean"))
+        .when(kind == TEXT, text != "")
+        .when(kind != NULL, ~text.isin("[]", "{}")), F.lit(False))
 
 
 def _computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -66,21 +72,20 @@ def _computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def _parse(json_df: DataFrame, value: str, with_delay: bool) -> DataFrame:
-    """The fields of a payload and, in `problem`, why it cannot be used (null when it can)."""
-    text = F.col(value).cast("string")
-    fields = _computed_once(json_df, "payload", F.from_json(text, PAYLOAD_SCHEMA))
-    empty = [F.when(_field(key).isNull(), key) for key in _REQUIRED_TEXT]
-    empty += [F.when(_moment(_field(key)).isNull(), key) for key in _REQUIRED_TIME]
+    """The payload of a record and, in `problem`, why it cannot be used (null when it can)."""
+    parsed = _computed_once(json_df, "payload", F.try_parse_json(F.col(value).cast("string")))
+    problem = F.when(
+        ~F.coalesce(F.schema_of_variant("payload").startswith("OBJECT"), F.lit(False)),
+        "not a JSON object")
+    for key in _REQUIRED_TEXT:
+        problem = problem.when(_kind(key) != TEXT, f"unusable {key}")
+    for key in _REQUIRED_TIME:
+        problem = problem.when(
+            _kind(key).isNotNull() & _seconds(key).isNull(), f"unusable {key}")
     if with_delay:
-        empty.append(F.when(_truthy(_field(_PLANNED)) & _planned().isNull(), _PLANNED))
-    fields = fields.withColumn("empty", F.array_compact(F.array(*empty)))
-    doubtful = (F.size("empty") > 0) | _field(_DISTANCE).isNull()
-    fields = _computed_once(fields, "present", F.when(doubtful, F.json_object_keys(text)))
-    held = F.get(F.array_intersect("empty", "present"), F.lit(0))
-    return fields.withColumn(
-        "problem",
-        F.when(doubtful & F.col("present").isNull(), "not a JSON object")
-        .when(F.size("empty") > 0, F.concat(F.lit("unusable "), held)))
+        problem = problem.when(
+            _truthy(_PLANNED) & _seconds(_PLANNED).isNull(), f"unusable {_PLANNED}")
+    return parsed.withColumn("problem", problem)
 
 
 def normalize_flights(
@@ -93,14 +98,12 @@ def normalize_flights(
     """
     parsed = _parse(json_df, value, with_delay)
     # In a usable record a required field that is null was absent.
-    call, origin, dest = (F.coalesce(_field(key), F.lit("")) for key in _REQUIRED_TEXT)
-    seen, landed = (F.coalesce(_field(key), F.lit(0.0)) for key in _REQUIRED_TIME)
+    call, origin, dest = (F.coalesce(_as(key, "string"), F.lit("")) for key in _REQUIRED_TEXT)
+    seen, landed = (F.coalesce(_seconds(key), F.lit(0.0)) for key in _REQUIRED_TIME)
     call = F.regexp_replace(call, r"(?U)^\s+|\s+$", "")
     left, arrived = F.timestamp_seconds(seen), F.timestamp_seconds(landed)
-    delay = F.when(_truthy(_field(_PLANNED)), (seen - _planned()) / 60).otherwise(0.0)
-    miles = F.when(
-        _field(_DISTANCE).isNull() & ~F.array_contains("present", _DISTANCE), 0.0
-    ).otherwise(_field(_DISTANCE))
+    delay = F.when(_truthy(_PLANNED), (seen - _seconds(_PLANNED)) / 60).otherwise(0.0)
+    miles = F.when(_kind(_DISTANCE).isNull(), 0.0).otherwise(_as(_DISTANCE, "double"))
     columns = [
         F.substring(call, 1, 3).alias("UniqueCarrier"),
         origin.alias("Origin"),
@@ -112,7 +115,7 @@ def normalize_flights(
         *([delay.alias("DepDelay")] if with_delay else []),
         miles.alias("Distance"),
         F.date_format(arrived, "HHmm").alias("CRSArrTime"),
-        F.when(_truthy(_field("diverted")), 1).otherwise(0).alias("Diverted"),
+        F.when(_truthy("diverted"), 1).otherwise(0).alias("Diverted"),
         F.lit(0).alias("Cancelled"),
         route_type(origin, dest).alias("RouteType"),
     ]

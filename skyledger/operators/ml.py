@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import math
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -21,6 +22,7 @@ from skyledger.session import materialize
 
 log = logging.getLogger(__name__)
 
+# Column names that stored models and their readers share.
 LABEL = "DelayCategory"
 CATEGORICAL = ["UniqueCarrier", "Origin", "Dest", "RouteType"]
 NUMERIC = [
@@ -36,6 +38,8 @@ FOREST_PARAMS = {
 }
 SPLIT = (0.8, 0.2)
 SEED = 42
+# Draws of one row that one task makes, on average.
+COPIES = 8
 
 
 def preprocess(df: DataFrame, with_label: bool = False) -> DataFrame:
@@ -88,9 +92,12 @@ def oversample(df: DataFrame, label: str = LABEL, seed: int = SEED) -> DataFrame
     """Draw classes 1 to 3 with replacement until they match the largest class.
 
     Class 0 stays as it is and an empty class stays empty. The only thing that reaches the
-    driver is one count per class. Give it a table written by class, as `train` does:
-    then each class is read once and a task that runs again draws the same rows.
+    driver is one count per class. A row that is to be drawn many times is first dealt out
+    under several salts, each of which draws COPIES at most on average, so the copies of a rare
+    class are made by all tasks. Give it a table written by class, as `train` does: then each
+    class is read once.
     """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
     largest = max(sizes.values(), default=0)
     out = df.filter(F.col(label) == 0)
@@ -99,7 +106,10 @@ def oversample(df: DataFrame, label: str = LABEL, seed: int = SEED) -> DataFrame
         if sizes.get(value):
             ratio = largest / sizes[value]
             log.info("class %d: %d rows, each drawn %.2f times on average", value, sizes[value], ratio)
-            part = part.sample(True, ratio, seed)
+            salts = math.ceil(ratio / COPIES)
+            dealt = part.withColumn("salt", F.explode(F.sequence(F.lit(1), F.lit(salts))))
+            part = dealt.repartition(width, *dealt.columns).sample(
+                True, ratio / salts, seed).drop("salt")
         out = out.unionAll(part)
     return out
 
@@ -164,11 +174,13 @@ def train(
     """Split first, balance the training part only, fit.
 
     Balancing after the split keeps copies of one flight out of the test part. The
-    features are written once, by class, and every pass of the fit reads that table.
+    features are written once, by class; the balanced rows are dealt out evenly for the fit.
     """
+    width = int(flights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     features = preprocess(flights, with_label=True).select(LABEL, *NUMERIC, *CATEGORICAL)
     training, test = train_test_split(features, seed=seed, partition_by=[LABEL])
-    return Trained(build_pipeline(kind, params).fit(oversample(training, seed=seed)), test)
+    balanced = materialize(oversample(training, seed=seed).repartition(width), "balanced")
+    return Trained(build_pipeline(kind, params).fit(balanced), test)
 
 
 def confusion_matrix(

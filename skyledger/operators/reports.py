@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions.columns import (
@@ -25,7 +25,8 @@ AIRPORT_COLUMNS = [
     "ORIGIN", "DEP_DELAY", "TAXI_OUT", "TAXI_IN", "CANCELLED", "OP_CARRIER", "DEST",
 ]
 
-# Raw columns each report reads; a columnar source is scanned for these only.
+# Names of raw columns, and in the reports below names of result columns, which
+# stored reports and their readers share. A columnar source is scanned for these only.
 REPORT_COLUMNS = {
     "carrier_performance": [
         "OP_CARRIER", "ORIGIN", "DEST", "ARR_DELAY", "DEP_DELAY", "AIR_TIME", "DISTANCE",
@@ -137,12 +138,17 @@ def airport_performance(df: DataFrame) -> DataFrame:
         "ORIGIN", "OP_CARRIER", "DEST").agg(
         F.count("*").alias("n"),
         F.sum("DEP_DELAY").alias("departure"),
-        F.sum(F.col("DEP_DELAY") * F.col("DEP_DELAY")).alias("squares"),
+        (F.var_pop("DEP_DELAY") * F.count("DEP_DELAY")).alias("squares"),
         F.sum("TAXI_OUT").alias("taxi_out"),
         F.sum("TAXI_IN").alias("taxi_in"),
         F.sum("CANCELLED").alias("cancelled"),
         F.max("DEP_DELAY").alias("worst"),
     )
+    # squared distances from a route's own mean, moved to the mean of the airport
+    airport = Window.partitionBy("ORIGIN")
+    mean_delay = F.sum("departure").over(airport) / F.sum("n").over(airport)
+    apart = F.col("departure") / F.col("n") - mean_delay
+    grain = grain.withColumn("squares", F.col("squares") + F.col("n") * apart * apart)
     sums = grain.groupBy("ORIGIN").agg(
         *_summed(grain, "ORIGIN", "OP_CARRIER", "DEST", "worst"),
         F.max("worst").alias("worst"),
@@ -159,7 +165,7 @@ def airport_performance(df: DataFrame) -> DataFrame:
         "num_destinations",
         share(F.col("cancelled"), n, 4).alias("cancellation_rate"),
         F.round("worst", 2).alias("max_departure_delay"),
-        sample_stddev(F.col("departure"), F.col("squares"), n, 2).alias("departure_delay_std"),
+        sample_stddev(F.col("squares"), n, 2).alias("departure_delay_std"),
     ).orderBy(F.col("total_departures").desc(), "ORIGIN")
 
 
@@ -169,13 +175,15 @@ def airport_metrics_join(df: DataFrame) -> DataFrame:
     Same rows as `airport_performance` at several times the shuffles; it is here for callers
     who compute the three parts at different times.
     """
-    flights = _airport_input(df).groupBy("ORIGIN")
+    rows = _airport_input(df)
+    flights = rows.groupBy("ORIGIN")
     base = flights.agg(
         F.count("*").alias("total_departures"),
         mean("DEP_DELAY").alias("avg_departure_delay"),
         mean("TAXI_OUT").alias("avg_taxi_out_time"),
         mean("TAXI_IN").alias("avg_taxi_in_time"))
-    network = flights.agg(
+    # one row for each route and carrier, so that no flight is multiplied
+    network = rows.groupBy("ORIGIN", "OP_CARRIER", "DEST").count().groupBy("ORIGIN").agg(
         F.countDistinct("OP_CARRIER").alias("num_carriers"),
         F.countDistinct("DEST").alias("num_destinations"))
     delays = flights.agg(
@@ -236,23 +244,24 @@ def overall_performance_metrics(df: DataFrame) -> DataFrame:
         F.sum("CANCELLED").alias("cancelled"),
         F.sum("DIVERTED").alias("diverted"),
     )
-    running = with_running_total(by_delay, "ARR_DELAY", "n", "upto")
-    total = running.agg(F.sum("n").alias("flights")).first()["flights"] or 0
     late, rows = F.col("ARR_DELAY"), F.col("n")
+    running = with_running_total(
+        by_delay, "ARR_DELAY", "n", "upto", {"flights": rows, "minutes": late * rows})
+    apart = late - F.col("minutes") / F.col("flights")
     sums = running.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
         F.sum(late * rows).alias("arrival"),
-        F.sum(late * late * rows).alias("squares"),
+        F.sum(apart * apart * rows).alias("squares"),
         F.sum("departure").alias("departure"),
         F.sum("cancelled").alias("cancelled"),
         F.sum("diverted").alias("diverted"),
         F.sum(F.when(late <= 0, rows).otherwise(0)).alias("on_time"),
-        F.min(F.when(F.col("upto") >= 0.95 * total, late)).alias("high"))
+        F.min(F.when(F.col("upto") >= 0.95 * F.col("flights"), late)).alias("high"))
     n = F.col("n")
     return sums.select(
         n.alias("total_flights"),
         share(F.col("arrival"), n, 2).alias("overall_avg_arrival_delay"),
-        sample_stddev(F.col("arrival"), F.col("squares"), n, 2).alias("arrival_delay_std"),
+        sample_stddev(F.col("squares"), n, 2).alias("arrival_delay_std"),
         share(F.col("departure"), n, 2).alias("overall_avg_departure_delay"),
         F.round("high", 2).alias("95th_percentile_delay"),
         share(F.col("cancelled"), n, 4).alias("overall_cancellation_rate"),

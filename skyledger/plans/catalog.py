@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions import columns as rules
@@ -43,7 +43,10 @@ def as_text(df: DataFrame, column: str, pattern: str = "yyyy-MM-dd HH:mm:ss") ->
 @query
 def scan_csv_raw(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_folder(spark, "raw-csv")
-    star.raw_flights(spark, sf).write.option("header", True).csv(path)
+    flights = star.raw_flights(spark, sf)
+    # other files have other orders and more columns
+    flights.select(F.lit("x").alias("note"), *reversed(flights.columns), F.lit(1).alias("more")
+                   ).write.option("header", True).csv(path)
     return files.read_flights_csv(spark, path)
 
 
@@ -58,7 +61,7 @@ def scan_csv_inferred(spark: SparkSession, sf: str) -> DataFrame:
 def scan_csv_schema(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_folder(spark, "training-csv")
     star.train_flights(spark, sf).write.option("header", True).csv(path)
-    return files.read_training_csv(spark, path)
+    return files.read_training_csv(spark, path, header=True)
 
 
 @query
@@ -96,7 +99,7 @@ def export_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_folder(spark, "export")
     flights, _ = landing.normalize_flights(star.flight_payloads(spark, sf))
     sinks.export_csv(flights, path)
-    return files.read_training_csv(spark, path)
+    return files.read_training_csv(spark, path, header=True)
 
 
 @query
@@ -225,16 +228,25 @@ def repartition_stable(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def aggregate_functions(spark: SparkSession, sf: str) -> DataFrame:
-    flights = cleaned(spark, sf, ["OP_CARRIER", "ORIGIN", "ARR_DELAY", "DISTANCE"])
-    late = F.col("ARR_DELAY")
-    return flights.groupBy("OP_CARRIER").agg(
+    """Every aggregate function; the distinct count and the percentile run over small grains."""
+    flights = materialize(
+        cleaned(spark, sf, ["OP_CARRIER", "ORIGIN", "ARR_DELAY", "DISTANCE"]), "measures")
+    late, carrier = F.col("ARR_DELAY"), Window.partitionBy("OP_CARRIER")
+    plain = flights.groupBy("OP_CARRIER").agg(
         F.count("*").alias("flights"),
         reports.mean("DISTANCE").alias("mean_distance"),
         F.sum(reports.indicator(late > 15)).alias("late_flights"),
         F.max(late).alias("worst"),
-        F.round(F.stddev(late), 2).alias("spread"),
-        F.countDistinct("ORIGIN").alias("origins"),
-        F.percentile_approx(late, 0.95).alias("p95"))
+        F.round(F.stddev(late), 2).alias("spread"))
+    origins = flights.select("OP_CARRIER", "ORIGIN").distinct().groupBy("OP_CARRIER").agg(
+        F.count("ORIGIN").alias("origins"))
+    delays = flights.where(late.isNotNull()).groupBy("OP_CARRIER", "ARR_DELAY").agg(
+        F.count("*").alias("n")).select(
+        "OP_CARRIER", "ARR_DELAY", F.sum("n").over(carrier.orderBy("ARR_DELAY")).alias("upto"),
+        F.sum("n").over(carrier).alias("all"))
+    high = delays.where(F.col("upto") * 100 >= F.col("all") * 95).groupBy("OP_CARRIER").agg(
+        F.min("ARR_DELAY").alias("p95"))
+    return plain.join(origins, "OP_CARRIER").join(high, "OP_CARRIER", "left")
 
 
 # Set operations
@@ -393,6 +405,33 @@ def _test_metrics(run: ml.Trained) -> DataFrame:
     return ml.classification_metrics(run.model.transform(run.test))
 
 
+def _fit_summary(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    """What holds of a trained classifier whatever its weights are.
+
+    rows: flights it was split from; test_share_as_wanted: a fifth is the test part, within 2
+    points; accuracy_as_counted and f1_as_counted: the metrics follow from the confusion counts.
+    """
+    run = _run(spark, sf, kind)
+    scored = run.model.transform(run.test)
+    cells = ml.confusion_matrix(scored).withColumnsRenamed({ml.LABEL: "t", "prediction": "p"})
+    n, label = F.col("count"), Window.partitionBy("t")
+    sides = cells.select(
+        "*", F.sum(n).over(label).alias("actual"),
+        F.sum(n).over(Window.partitionBy("p")).alias("guessed"))
+    hits = F.when(F.col("t") == F.col("p"), n).otherwise(0)
+    counted = sides.agg(
+        F.sum(n).alias("test"), (F.sum(hits) / F.sum(n)).alias("a"),
+        (F.sum(2 * hits * F.col("actual") / (F.col("actual") + F.col("guessed"))) / F.sum(n))
+        .alias("f"))
+    whole = star.table(spark, sf, "lineitem").agg(F.count("*").alias("rows"))
+    # three rows with different columns become one
+    parts = whole.unionByName(counted, True).unionByName(ml.classification_metrics(scored), True)
+    return parts.agg(*(F.max(c).alias(c) for c in parts.columns)).select(
+        "rows", (F.abs(F.col("test") / F.col("rows") - 0.2) < 0.02).alias("test_share_as_wanted"),
+        (F.abs(F.col("accuracy") - F.col("a")) < 1e-9).alias("accuracy_as_counted"),
+        (F.abs(F.col("f1_score") - F.col("f")) < 1e-9).alias("f1_as_counted"))
+
+
 @query
 def ml_features(spark: SparkSession, sf: str) -> DataFrame:
     return _features(spark, sf, keep=KEYS)
@@ -422,17 +461,21 @@ def class_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def oversample_classes(spark: SparkSession, sf: str) -> DataFrame:
-    """Class sizes before balancing, and whether each then lies within 10 % of the largest."""
+    """Class sizes before balancing, whether each then lies within 10 % of the largest, and
+    whether no task holds more than twice its share of a drawn class."""
     flights = star.train_flights(spark, sf, ["DepDelay"])
     labelled = materialize(
         flights.withColumn(ml.LABEL, rules.delay_class("DepDelay")), "classes", [ml.LABEL])
     before = ml.class_counts(labelled)
-    after = ml.oversample(labelled).groupBy(ml.LABEL).agg(F.count("*").alias("after"))
+    parts = ml.oversample(labelled).groupBy(
+        ml.LABEL, F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"))
+    after = parts.groupBy(ml.LABEL).agg(
+        F.sum("n").alias("after"), (F.max("n") <= 2 * F.avg("n")).alias("even"))
     near = F.abs(F.col("after") / F.col("largest") - 1) < 0.1
-    same = F.col("after") == F.col("count")
+    same, drawn = F.col("after") == F.col("count"), F.col(ml.LABEL) > 0
     return before.join(after, ml.LABEL).select(
-        ml.LABEL, "count", "largest",
-        F.when(F.col(ml.LABEL) == 0, same).otherwise(near).alias("as_wanted"))
+        ml.LABEL, "count", "largest", F.when(drawn, near).otherwise(same).alias("as_wanted"),
+        F.when(drawn, F.col("even")).otherwise(True).alias("spread_as_wanted"))
 
 
 @query
@@ -483,17 +526,22 @@ def classification_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def logistic_model(spark: SparkSession, sf: str) -> DataFrame:
-    return _test_metrics(_run(spark, sf, "logistic"))
+    return _fit_summary(spark, sf, "logistic")
 
 
 @query
 def random_forest_model(spark: SparkSession, sf: str) -> DataFrame:
-    return _test_metrics(_run(spark, sf, "forest"))
+    return _fit_summary(spark, sf, "forest")
 
 
 @query
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
-    return ml.feature_importance(_run(spark, sf, "forest").model)
+    """Whose importance is measured, and that all of them are shares of one."""
+    found = ml.feature_importance(_run(spark, sf, "forest").model)
+    total = F.sum("importance").over(Window.partitionBy())  # one row for each input column
+    return found.select(
+        "feature", F.col("importance").between(0, 1).alias("is_share"),
+        (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
 
 
 @query
@@ -502,25 +550,55 @@ def model_metadata(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_folder(spark, "metadata")
     record = ml.model_metadata(run.model, _test_metrics(run))
     ml.write_metadata(record, path)
-    return spark.read.schema(record.schema).json(path)
+    stored = spark.read.schema(record.schema).json(path)
+    return stored.select(
+        F.array_join("features.categorical", ",").alias("categorical"),
+        F.array_join("features.numeric", ",").alias("numeric"), "model_params.numTrees",
+        "model_params.maxDepth", "model_params.featureSubsetStrategy", "model_params.impurity",
+        (F.col("metrics.accuracy").between(0, 1) & F.col("metrics.f1_score").between(0, 1)).alias(
+            "metrics_are_shares"),
+        F.try_to_timestamp(F.col("training_date")).isNotNull().alias("dated"))
+
+
+def _keyed_flights(spark: SparkSession, sf: str) -> DataFrame:
+    return star.train_flights(spark, sf, TRAINING_INPUT, keep=KEYS)
 
 
 @query
 def ml_score_batch(spark: SparkSession, sf: str) -> DataFrame:
-    flights = _training_flights(spark, sf)
-    return ml.score(flights, _run(spark, sf, "forest").model, [*ml.RESULT_COLUMNS, "DepDelay"])
+    """Each flight, that its class is one of four, and that its text is that of the class."""
+    scored = ml.score(_keyed_flights(spark, sf), _run(spark, sf, "forest").model, KEYS)
+    fits = F.col("DelayDescription") == rules.describe_prediction("prediction")
+    return scored.select(
+        *KEYS, F.col("prediction").isin(0, 1, 2, 3).alias("known_class"), fits.alias("text_fits"))
 
 
 @query
 def ml_probabilities(spark: SparkSession, sf: str) -> DataFrame:
-    return ml.class_probabilities(_training_flights(spark, sf), _run(spark, sf, "logistic").model)
+    """Each flight, its number of probabilities, that they sum to 1, and that the largest is
+    that of the predicted class."""
+    model = _run(spark, sf, "logistic").model
+    scored = model.transform(ml.preprocess(_keyed_flights(spark, sf)))
+    shares = scored.select(*KEYS, "prediction", vector_to_array("probability").alias("p"))
+    total = F.aggregate("p", F.lit(0.0), lambda a, b: a + b)
+    best = F.get("p", F.col("prediction").cast("int")) == F.array_max("p")
+    return shares.select(*KEYS, F.size("p").alias("classes"),
+                         (F.abs(total - 1) < 1e-9).alias("sums_to_one"), best.alias("best_is_predicted"))
 
 
 @query
 def stream_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Streamed flights by what is shown of them, and whether their scores are the batch's."""
     source, target = fresh_folder(spark, "score-in"), fresh_folder(spark, "score-out")
     kafka.to_kafka_json(star.train_flights(spark, sf, STREAM_COLUMNS)).write.text(source)
     model = _run(spark, sf, "forest").model
     done = scorer.score_stream(scorer.json_stream(spark, source), model)
     scorer.run_query(scorer.file_sink(done, target, fresh_folder(spark, "score-checkpoint")))
-    return spark.read.schema(done.schema).parquet(target)
+    streamed = spark.read.schema(done.schema).parquet(target)
+    batch = ml.score(star.train_flights(spark, sf, STREAM_COLUMNS), model)
+    both = streamed.withColumn("n", F.lit(1)).unionAll(batch.withColumn("n", F.lit(-1)))
+    pairs = both.groupBy(*streamed.columns).agg(
+        F.sum(F.when(F.col("n") > 0, 1).otherwise(0)).alias("streamed"),
+        F.sum("n").alias("surplus"))
+    return pairs.groupBy(*ml.RESULT_COLUMNS).agg(
+        F.sum("streamed").alias("flights"), F.bool_and(F.col("surplus") == 0).alias("as_batch"))

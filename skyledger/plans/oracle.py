@@ -133,9 +133,12 @@ features AS (
 PAYLOADS = """
 payloads AS (
   SELECT event_id, ts, '{' || concat_ws(',',
-    '"firstSeen":' || seen,
-    '"lastSeen":' || (seen + 1800 + event_id % 7200),
+    '"firstSeen":' || CASE WHEN event_id % 101 = 0 THEN '"' || seen || '"'
+      ELSE CAST(seen AS VARCHAR) END,
+    '"lastSeen":' || CASE WHEN event_id % 103 = 0 THEN 'true'
+      ELSE CAST(seen + 1800 + event_id % 7200 AS VARCHAR) END,
     '"callsign":' || CASE WHEN event_id % 41 = 0 THEN 'null' WHEN event_id % 43 = 0 THEN NULL
+      WHEN event_id % 47 = 0 THEN CAST(event_id % 1000 AS VARCHAR)
       ELSE '" AB' || (event_id % 9) || (event_id % 1000) || ' "' END,
     '"estDepartureAirport":' || CASE WHEN event_id % 37 = 0 THEN 'null'
       WHEN event_id % 53 = 0 THEN NULL
@@ -149,8 +152,11 @@ payloads AS (
       WHEN event_id % 31 = 0 THEN NULL ELSE CAST(event_id % 5000 AS VARCHAR) END,
     '"scheduledDepartureTime":' || CASE WHEN event_id % 3 = 0 THEN NULL
       WHEN event_id % 17 = 0 THEN '0'
+      WHEN event_id % 97 = 0 THEN '"' || seen || '"'
       ELSE CAST(seen - (event_id % 120 - 30) * 60 AS VARCHAR) END,
     '"diverted":' || CASE WHEN event_id % 19 = 0 THEN 'true' WHEN event_id % 23 = 0 THEN NULL
+      WHEN event_id % 31 = 1 THEN '"false"' WHEN event_id % 31 = 2 THEN '""'
+      WHEN event_id % 31 = 3 THEN '[]' WHEN event_id % 31 = 4 THEN '2.5'
       ELSE 'false' END
     ) || '}' AS value
   FROM (SELECT *, 1704067200 + event_id * 97 AS seen FROM events)
@@ -159,7 +165,15 @@ payloads AS (
 
 def _json_text(key: str) -> str:
     return (f"CASE WHEN json_type(value, '$.{key}') IS NULL THEN '' "
-            f"ELSE json_extract_string(value, '$.{key}') END")
+            f"WHEN json_type(value, '$.{key}') = 'VARCHAR' "
+            f"THEN json_extract_string(value, '$.{key}') END")
+
+
+def _json_time(key: str) -> str:
+    kind, text = f"json_type(value, '$.{key}')", f"json_extract_string(value, '$.{key}')"
+    return (f"CASE WHEN {kind} IS NULL THEN 0.0 WHEN {kind} = 'BOOLEAN' "
+            f"THEN CASE WHEN {text} = 'true' THEN 1.0 ELSE 0.0 END "
+            f"WHEN {kind} IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN CAST({text} AS DOUBLE) END")
 
 
 def _json_number(key: str) -> str:
@@ -173,10 +187,12 @@ fields AS (
     {_json_text("callsign")} AS callsign,
     {_json_text("estDepartureAirport")} AS origin,
     {_json_text("estArrivalAirport")} AS dest,
-    {_json_number("firstSeen")} AS first_seen,
-    {_json_number("lastSeen")} AS last_seen,
+    {_json_time("firstSeen")} AS first_seen,
+    {_json_time("lastSeen")} AS last_seen,
     {_json_number("estDepartureAirportHorizDistance")} AS miles,
     json_extract_string(value, '$.scheduledDepartureTime') AS planned,
+    coalesce(json_type(value, '$.scheduledDepartureTime') = 'VARCHAR', FALSE) AS bad_plan,
+    json_type(value, '$.diverted') AS diverted_kind,
     json_extract_string(value, '$.diverted') AS diverted
   FROM payloads
 ),
@@ -185,24 +201,29 @@ problems AS (
     WHEN origin IS NULL THEN 'unusable estDepartureAirport'
     WHEN dest IS NULL THEN 'unusable estArrivalAirport'
     WHEN first_seen IS NULL THEN 'unusable firstSeen'
-    WHEN last_seen IS NULL THEN 'unusable lastSeen' END AS problem
+    WHEN last_seen IS NULL THEN 'unusable lastSeen' END AS stream_problem,
+    coalesce(stream_problem, CASE WHEN bad_plan THEN 'unusable scheduledDepartureTime' END)
+      AS problem
   FROM fields
 ),
-normalized AS (
+usable AS (
   SELECT substr(trim(callsign), 1, 3) AS UniqueCarrier, origin AS Origin, dest AS Dest,
     CAST(month(left_at) AS INTEGER) AS "Month", CAST(day(left_at) AS INTEGER) AS DayofMonth,
     substr(trim(callsign), 4) AS FlightNum, strftime(left_at, '%H%M') AS CRSDepTime,
     CASE WHEN planned IS NOT NULL AND planned <> '0'
-      THEN (first_seen - CAST(planned AS DOUBLE)) / 60 ELSE CAST(0 AS DOUBLE) END AS DepDelay,
+      THEN (first_seen - TRY_CAST(planned AS DOUBLE)) / 60 ELSE CAST(0 AS DOUBLE) END AS DepDelay,
     CAST(miles AS DOUBLE) AS Distance, strftime(arrived, '%H%M') AS CRSArrTime,
-    CASE WHEN diverted = 'true' THEN 1 ELSE 0 END AS Diverted, 0 AS Cancelled,
+    CASE WHEN diverted_kind = 'VARCHAR' THEN CAST(diverted <> '' AS INTEGER)
+      WHEN diverted IN ('true', '2.5') THEN 1 ELSE 0 END AS Diverted, 0 AS Cancelled,
     CASE WHEN substr(origin, 1, 2) = substr(dest, 1, 2) THEN 'Domestic'
-      ELSE 'International' END AS RouteType
+      ELSE 'International' END AS RouteType, bad_plan
   FROM (
     SELECT *, make_timestamp(CAST(first_seen AS BIGINT) * 1000000) AS left_at,
       make_timestamp(CAST(last_seen AS BIGINT) * 1000000) AS arrived
-    FROM problems WHERE problem IS NULL)
-)"""
+    FROM problems WHERE stream_problem IS NULL)
+),
+normalized AS (SELECT * EXCLUDE (bad_plan) FROM usable WHERE NOT bad_plan),
+streamed AS (SELECT * EXCLUDE (bad_plan, DepDelay) FROM usable)"""
 
 
 def _rounded(value: str, places: int = 2) -> str:
@@ -361,7 +382,7 @@ _KAFKA_JSON = """SELECT '{"UniqueCarrier":"' || UniqueCarrier || '","Origin":"'
   || COALESCE(CAST(Distance AS VARCHAR), 'null') || ',"CRSArrTime":"' || CRSArrTime
   || '","Diverted":' || Diverted || ',"Cancelled":' || Cancelled || ',"RouteType":"'
   || RouteType || '"}' AS value
-FROM normalized"""
+FROM streamed"""
 
 _METRICS = """classes AS (
   SELECT c, SUM(actual) AS actual, SUM(guessed) AS guessed, SUM(hits) AS hits FROM (
@@ -460,7 +481,7 @@ FROM clean"""),
 FROM lineitem""",
         "hhmm_parts": _sql(train, f"SELECT CRSDepTime, CRSArrTime, {_HHMM} FROM train"),
         "normalize_flights": _sql(landed, "SELECT * FROM normalized"),
-        "normalize_flights_stream": _sql(landed, "SELECT * EXCLUDE (DepDelay) FROM normalized"),
+        "normalize_flights_stream": _sql(landed, "SELECT * FROM streamed"),
         "rejected_flights": _sql(
             landed, "SELECT event_id, value, problem FROM problems WHERE problem IS NOT NULL"),
         "flights_in_window": _sql([PAYLOADS], """SELECT event_id, value FROM payloads
@@ -487,8 +508,8 @@ FROM features"""),
         "class_counts": _sql(
             train, f"SELECT *, MAX(\"count\") OVER () AS largest FROM ({_COUNTED})"),
         "oversample_classes": _sql(
-            train, f"SELECT *, MAX(\"count\") OVER () AS largest, TRUE AS as_wanted "
-                   f"FROM ({_COUNTED})"),
+            train, f"SELECT *, MAX(\"count\") OVER () AS largest, TRUE AS as_wanted, "
+                   f"TRUE AS spread_as_wanted FROM ({_COUNTED})"),
         "train_test_split": "SELECT COUNT(*) AS \"rows\", TRUE AS share_as_wanted FROM lineitem",
         "string_index": _sql([*features, _indexed()], "SELECT "
                              + ", ".join(f"{c}, {c}Index" for c in CATEGORICAL) + " FROM indexed"),
@@ -499,6 +520,25 @@ FROM features"""),
   ROUND(SUM(hits) / SUM(actual), 6) AS accuracy,
   ROUND(SUM(actual * 2.0 * hits / (actual + guessed)) / SUM(actual), 6) AS f1_score
 FROM classes"""),
+    }
+    # what holds of a model whatever its weights are
+    fitted = """SELECT COUNT(*) AS "rows", TRUE AS test_share_as_wanted,
+  TRUE AS accuracy_as_counted, TRUE AS f1_as_counted FROM lineitem"""
+    names = [*NUMERIC, *(f"{c}Vec" for c in CATEGORICAL)]
+    out |= {
+        "logistic_model": fitted,
+        "random_forest_model": fitted,
+        "feature_importance": "SELECT feature, TRUE AS is_share, TRUE AS sums_to_one FROM (VALUES "
+                              + ", ".join(f"('{name}')" for name in names) + ") AS v(feature)",
+        "model_metadata": f"""SELECT '{",".join(CATEGORICAL)}' AS categorical,
+  '{",".join(NUMERIC)}' AS numeric, 100 AS numTrees, 10 AS maxDepth,
+  'auto' AS featureSubsetStrategy, 'gini' AS impurity, TRUE AS metrics_are_shares, TRUE AS dated""",
+        "ml_score_batch": _sql(
+            train, "SELECT ok, pk, sk, ln, TRUE AS known_class, TRUE AS text_fits FROM train"),
+        "ml_probabilities": _sql(train, """SELECT ok, pk, sk, ln, 4 AS classes,
+  TRUE AS sums_to_one, TRUE AS best_is_predicted FROM train"""),
+        "stream_score": _sql(features, """SELECT UniqueCarrier, Origin, Dest, CRSDepTime, Distance,
+  COUNT(*) AS flights, TRUE AS as_batch FROM features GROUP BY 1, 2, 3, 4, 5"""),
     }
     sizes = " + ".join(f"(SELECT COUNT(*) + 1 FROM index_{c})" for c in CATEGORICAL)
     out["ml_vector"] = _sql([*features, _indexed()], f"""SELECT

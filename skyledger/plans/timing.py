@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.cleaning import clean_flights
 from skyledger.operators.reports import REPORT_COLUMNS, REPORTS
-from skyledger.session import materialize
+from skyledger.session import materialize, scratch
 from skyledger.sources.sinks import write_report
 
 log = logging.getLogger(__name__)
@@ -22,11 +22,20 @@ REPORT_INPUT = set().union(*REPORT_COLUMNS.values())
 
 @dataclass(frozen=True)
 class Configuration:
-    """`partitions` forces that many input partitions; `shuffle` sets the shuffle width."""
+    """`shuffle` sets the shuffle width; the others force that many partitions.
+
+    `partitions` of the input, `cleaned` of the cleaned flights, `result` of each report.
+    """
 
     name: str
     shuffle: int | None = None
     partitions: int | None = None
+    cleaned: int | None = None
+    result: int | None = None
+
+
+def _dealt(df: DataFrame, partitions: int | None) -> DataFrame:
+    return df.repartition(partitions) if partitions else df
 
 
 # The settings to compare. The shape of the executors belongs to the deployment.
@@ -56,14 +65,16 @@ def run_reports(
     `options_for` gives the target of a report, such as its path. The result holds the
     rows written or the error of each report.
     """
-    flights = landed_flights(raw)
     done: dict[str, int | Exception] = {}
-    for name, report in REPORTS.items():
-        try:
-            done[name] = write_report(report(flights), name, fmt, options_for(name), max_retries)
-        except Exception as error:
-            log.exception("report %s failed", name)
-            done[name] = error
+    with scratch(raw.sparkSession):
+        flights = landed_flights(raw)
+        for name, report in REPORTS.items():
+            try:
+                done[name] = write_report(
+                    report(flights), name, fmt, options_for(name), max_retries)
+            except Exception as error:
+                log.exception("report %s failed", name)
+                done[name] = error
     return done
 
 
@@ -93,13 +104,13 @@ def time_reports(
         for setting in configurations:
             spark.conf.set("spark.sql.shuffle.partitions", str(setting.shuffle or before))
             for name, report in REPORTS.items():
-                raw = read()
-                if setting.partitions:
-                    raw = raw.repartition(setting.partitions)
                 seen = Observation()
                 start = time.monotonic()
-                counted = report(clean_flights(raw)).observe(seen, F.count(F.lit(1)).alias("rows"))
-                counted.write.format("noop").mode("overwrite").save()
+                with scratch(spark):
+                    flights = clean_flights(_dealt(read(), setting.partitions))
+                    found = _dealt(report(_dealt(flights, setting.cleaned)), setting.result)
+                    counted = found.observe(seen, F.count(F.lit(1)).alias("rows"))
+                    counted.write.format("noop").mode("overwrite").save()
                 rows.append((name, setting.name, time.monotonic() - start, seen.get["rows"]))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,7 +37,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by `spark.checkpoint.dir`.
 
     Only a local-mode session may fall back to a temporary folder; on a cluster a
-    missing setting is an error, because executors do not share a local disk.
+    missing setting is an error, because executors do not share a local disk. A `file:` folder
+    is taken at its word: it has to be a mount that all hosts share.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -56,9 +60,37 @@ def application_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/skyledger-{spark.sparkContext.applicationId}/{name}"
 
 
+# Folders handed out inside the innermost `scratch` block.
+_HANDED_OUT: ContextVar[list[str] | None] = ContextVar("handed out", default=None)
+
+
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A path no earlier call has used."""
-    return application_folder(spark, f"{name}-{uuid.uuid4().hex}")
+    path = application_folder(spark, f"{name}-{uuid.uuid4().hex}")
+    handed_out = _HANDED_OUT.get()
+    if handed_out is not None:
+        handed_out.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what is written to fresh folders inside the block when it ends, failed or not.
+
+    Results that still read those tables have to be written or collected inside the block.
+    """
+    token = _HANDED_OUT.set([])
+    try:
+        yield
+    finally:
+        for path in _HANDED_OUT.get():
+            _delete(spark, path)
+        _HANDED_OUT.reset(token)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -68,10 +100,11 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     the true size of the data for its choice of join.
     """
     path = fresh_folder(df.sparkSession, name)
-    writer = df.write
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        # rows of one value meet in few tasks, which then write few files
+        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -83,5 +116,4 @@ def discard_application_folder(spark: SparkSession) -> None:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named and spark.sparkContext.getCheckpointDir() is None:
         return
-    path = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark, ""))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, application_folder(spark, ""))

@@ -197,9 +197,12 @@ def flight_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     null, absent = F.lit("null"), F.lit(None).cast("string")
     parts = [
-        cell("firstSeen", seen.cast("string")),
-        cell("lastSeen", (seen + 1800 + e % 7200).cast("string")),
-        cell("callsign", F.when(e % 41 == 0, null).when(e % 43 == 0, absent).otherwise(
+        cell("firstSeen", F.when(e % 101 == 0, text(seen.cast("string"))).otherwise(
+            seen.cast("string"))),
+        cell("lastSeen", F.when(e % 103 == 0, "true").otherwise(
+            (seen + 1800 + e % 7200).cast("string"))),
+        cell("callsign", F.when(e % 41 == 0, null).when(e % 43 == 0, absent).when(
+            e % 47 == 0, (e % 1000).cast("string")).otherwise(
             text(F.concat(F.lit(" AB"), (e % 9).cast("string"), (e % 1000).cast("string"),
                           F.lit(" "))))),
         cell("estDepartureAirport", F.when(e % 37 == 0, null).when(e % 53 == 0, absent).otherwise(
@@ -210,9 +213,12 @@ def flight_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
              F.when(e % 29 == 0, null).when(e % 31 == 0, absent)
              .otherwise((e % 5000).cast("string"))),
         cell("scheduledDepartureTime",
-             F.when(e % 3 == 0, absent).when(e % 17 == 0, "0")
+             F.when(e % 3 == 0, absent).when(e % 17 == 0, "0").when(
+                 e % 97 == 0, text(seen.cast("string")))
              .otherwise((seen - (e % 120 - 30) * 60).cast("string"))),
-        cell("diverted", F.when(e % 19 == 0, "true").when(e % 23 == 0, absent).otherwise("false")),
+        cell("diverted", F.when(e % 19 == 0, "true").when(e % 23 == 0, absent)
+             .when(e % 31 == 1, '"false"').when(e % 31 == 2, '""').when(e % 31 == 3, "[]")
+             .when(e % 31 == 4, "2.5").otherwise("false")),
     ]
     return table(spark, sf_dir, "events").select(
         "event_id", "ts", F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("value"))

@@ -66,10 +66,26 @@ def file_sink(
 
 
 def run_query(writer: DataStreamWriter, timeout: float | None = None) -> StreamingQuery:
-    """Start, wait for the end or for `timeout` seconds, and always stop the query."""
+    """Start, wait for the end, and always stop the query.
+
+    A query that has not ended within `timeout` seconds is an error, since its output is not
+    whole.
+    """
+    query = writer.start()
+    try:
+        ended = query.awaitTermination(timeout)
+    finally:
+        query.stop()
+    if timeout is not None and not ended:
+        raise TimeoutError(f"the query did not end within {timeout} seconds")
+    return query
+
+
+def run_for(writer: DataStreamWriter, seconds: float) -> StreamingQuery:
+    """Run a query that has no end of its own for a while."""
     query = writer.start()
     try:
-        query.awaitTermination(timeout)
+        query.awaitTermination(seconds)
     finally:
         query.stop()
     return query

@@ -29,7 +29,7 @@ def run_folder(spark, training_csv):
     path, patch = fresh_folder(spark, "run"), pytest.MonkeyPatch()
     patch.setitem(ml.FOREST_PARAMS, "numTrees", 3)
     patch.setitem(ml.FOREST_PARAMS, "maxDepth", 3)
-    jobs.main(["train", training_csv, path], spark)
+    jobs.main(["train", training_csv, path, "--header"], spark)
     patch.undo()
     return path
 
@@ -69,9 +69,9 @@ def test_train_and_score(spark, run_folder, training_csv, capsys):
     record = spark.read.json(f"{run_folder}/metadata").first()
     assert 0 < record.metrics.accuracy < 1 and record.model_params.numTrees == 3
     target = fresh_folder(spark, "scores")
-    jobs.main(["score", training_csv, run_folder, "--output", target], spark)
+    jobs.main(["score", training_csv, run_folder, "--header", "--output", target], spark)
     assert spark.read.parquet(target).filter("DelayDescription IS NULL").count() == 0
-    jobs.main(["score", training_csv, run_folder], spark)
+    jobs.main(["score", training_csv, run_folder, "--header"], spark)
     assert "probability" in capsys.readouterr().out
     with pytest.raises(SystemExit, match="no trained run"):
         jobs.main(["score", training_csv, run_folder + "-missing"], spark)

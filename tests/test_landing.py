@@ -55,14 +55,32 @@ def test_null_distance_stays_null(spark):
     assert found[0]["Distance"] is None
 
 
-@pytest.mark.parametrize("value", [None, 0, ""])
+@pytest.mark.parametrize("value", [None, 0, "", False, [], {}])
 def test_no_schedule_means_no_delay(spark, value):
     found, _ = normalized(spark, [{**BASE, "scheduledDepartureTime": value}])
     assert found[0]["DepDelay"] == 0.0
 
 
+@pytest.mark.parametrize("value", [12, True, ["ABC"], {"a": 1}])
+@pytest.mark.parametrize("key", ["callsign", "estDepartureAirport", "estArrivalAirport"])
+def test_only_texts_are_texts(spark, key, value):
+    assert normalized(spark, [{**BASE, key: value}]) == ([], [f"unusable {key}"])
+
+
+@pytest.mark.parametrize("key", ["firstSeen", "lastSeen", "scheduledDepartureTime"])
+@pytest.mark.parametrize("value", ["1704066000", "0", [1], {"a": 1}])
+def test_only_numbers_and_flags_are_times(spark, key, value):
+    assert normalized(spark, [{**BASE, key: value}]) == ([], [f"unusable {key}"])
+
+
+def test_a_flag_is_a_time_of_one_second(spark):
+    found, _ = normalized(spark, [{**BASE, "scheduledDepartureTime": True}])
+    assert found[0]["DepDelay"] == (BASE["firstSeen"] - 1) / 60
+
+
 @pytest.mark.parametrize(("value", "flag"), [
-    (True, 1), (1, 1), ("yes", 1), (False, 0), (None, 0), (0, 0), ("", 0)])
+    (True, 1), (1, 1), (0.5, 1), ("yes", 1), ("false", 1), ("0", 1), ([0], 1), ({"a": 0}, 1),
+    (False, 0), (None, 0), (0, 0), (0.0, 0), ("", 0), ([], 0), ({}, 0)])
 def test_diverted_flag(spark, value, flag):
     assert normalized(spark, [{**BASE, "diverted": value}])[0][0]["Diverted"] == flag
 

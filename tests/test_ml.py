@@ -12,11 +12,11 @@ from skyledger.sources.star import labelled_predictions, train_flights
 
 # one flight per delay class and an early one, the last with unseen carrier and airports
 SAMPLE = [
-    ("Brand#1", "EU01", "EU02", 1, 10, "100", "0800", 0.0, 337.0, "0930", 0, 0, "Domestic"),
-    ("Brand#2", "AF00", "EU02", 2, 11, "200", "1215", 20.0, 740.0, "1500", 0, 0, "International"),
-    ("Brand#3", "AM16", "AS09", 3, 12, "300", "1600", 60.0, 594.0, "1805", 1, 0, "International"),
-    ("Brand#4", "ME04", "ME10", 4, 13, "400", "2000", 100.0, 629.0, "2200", 0, 0, "Domestic"),
-    (None, "XX99", None, 5, 14, "500", None, None, None, "0700", 0, 0, None),
+    ("Brand#13", "AS12", "AS21", 6, 28, "4711", "0517", -7.0, 1183.0, "0744", 0, 0, "Domestic"),
+    ("Brand#52", "EU19", "AF05", 11, 3, "86", "2341", 31.0, 2466.0, "0312", 0, 0, "International"),
+    ("Brand#24", "AM03", "ME20", 9, 17, "3302", "1109", 78.0, 151.0, "1258", 1, 0, "International"),
+    ("Brand#35", "AF16", "AF00", 2, 25, "909", "1826", 143.0, 905.0, "1950", 0, 0, "Domestic"),
+    (None, "ZZ77", None, 12, 8, "17", None, None, None, "0702", 0, 0, None),
 ]
 
 
@@ -40,7 +40,7 @@ def forest(flights):
 def test_preprocess_fills(spark):
     row = ml.preprocess(literal_flights(spark, SAMPLE[-1:]), with_label=True).first()
     assert (row.UniqueCarrier, row.Origin, row.Dest, row.RouteType) == (
-        "UNKNOWN", "XX99", "UNKNOWN", "UNKNOWN")
+        "UNKNOWN", "ZZ77", "UNKNOWN", "UNKNOWN")
     assert (row.Distance, row.DepHour, row.DepMinute, row.ArrHour, row.DelayCategory) == (
         0.0, 0, 0, 7, 0)
 
@@ -73,6 +73,19 @@ def test_oversample_matches_the_largest_class(spark):
     assert out.join(df, ["id", ml.LABEL], "left_anti").count() == 0
 
 
+def test_a_rare_class_is_drawn_by_all_tasks(spark):
+    df = spark.range(100_000).select(
+        F.when(F.col("id") < 20, 3).otherwise(0).alias(ml.LABEL), "id").coalesce(1)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        drawn = ml.oversample(df).filter(f"{ml.LABEL} = 3")
+        sizes = [r[1] for r in drawn.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(sizes) == pytest.approx(100_000, rel=0.1)
+    assert len(sizes) == 16 and max(sizes) <= 2 * sum(sizes) / 16
+
+
 def test_class_zero_is_never_resampled(spark):
     df = spark.createDataFrame([(0, 1), (1, 2), (1, 3), (1, 4)], f"{ml.LABEL} int, id int")
     assert ml.oversample(df).filter(f"{ml.LABEL} = 0").count() == 1

@@ -6,10 +6,6 @@ from compare import connect, differences
 from skyledger.plans import catalog, oracle
 
 SQL = oracle.oracle_sql()
-MODELS = {
-    "logistic_model", "random_forest_model", "feature_importance", "model_metadata",
-    "ml_score_batch", "ml_probabilities", "stream_score",
-}
 
 
 @pytest.fixture(scope="module")
@@ -22,9 +18,8 @@ def test_equals_sql(spark, sf_dir, con, key):
     assert differences(catalog.QUERIES[key](spark, sf_dir), con, SQL[key]) == []
 
 
-def test_only_models_have_no_sql():
-    assert set(catalog.QUERIES) - set(SQL) == MODELS
-    assert set(SQL) <= set(catalog.QUERIES)
+def test_every_query_has_sql():
+    assert set(catalog.QUERIES) == set(SQL)
     assert set(catalog.QUERIES) <= set(entry.queries())
     assert set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
 

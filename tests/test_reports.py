@@ -35,6 +35,16 @@ def test_needs_no_more_than_its_columns(raw, name):
     assert rows(report(clean_flights(few))) == rows(report(clean_flights(raw)))
 
 
+def test_deviation_of_large_close_delays(spark):
+    delays = [1e8 + x for x in (0.1, 0.2, 0.4)]
+    rows = [("A", "X", f"D{i}", d, d, 1.0, 1.0, 0.0, 0.0) for i, d in enumerate(delays)]
+    df = spark.createDataFrame(rows, (
+        "ORIGIN string, OP_CARRIER string, DEST string, ARR_DELAY double, DEP_DELAY double, "
+        "TAXI_OUT double, TAXI_IN double, CANCELLED double, DIVERTED double"))
+    assert reports.airport_performance(df).first().departure_delay_std == 0.15
+    assert reports.overall_performance_metrics(df).first().arrival_delay_std == 0.15
+
+
 def test_airport_report_equals_the_join_of_its_parts(raw):
     flights = clean_flights(raw)
     assert rows(reports.airport_performance(flights)) == rows(

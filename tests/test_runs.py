@@ -91,6 +91,39 @@ def test_discarding_leaves_other_folders_alone(spark, monkeypatch):
 
 def test_no_row_wise_python_and_no_local_checkpoint():
     """The library stays on built-in expressions and reliable storage."""
-    text = "".join(p.read_text() for p in Path(session.__file__).parent.rglob("*.py"))
+    folder = Path(session.__file__).parent
+    text = "".join(p.read_text() for p in folder.rglob("*.py") if "llm" not in p.parts)
     for word in ("localCheckpoint", "crossJoin", "F.udf", "pandas_udf", ".toPandas(", "F.broadcast"):
         assert word not in text
+
+
+def test_scratch_is_empty_after_success_and_failure(spark):
+    paths = []
+
+    def write():
+        paths.append(session.fresh_folder(spark, "scratch"))
+        spark.range(3).write.parquet(paths[-1])
+        session.materialize(spark.range(3), "scratch-table")
+
+    def exists(path):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+    with session.scratch(spark):
+        write()
+        assert exists(paths[-1])
+    with pytest.raises(KeyError), session.scratch(spark):
+        write()
+        raise KeyError
+    assert not any(map(exists, paths))
+    kept = session.fresh_folder(spark, "kept")
+    spark.range(1).write.parquet(kept)
+    assert exists(kept)
+
+
+def test_reports_leave_no_copy_of_the_flights(spark, raw):
+    target = session.fresh_folder(spark, "reports")
+    root = Path(session.application_folder(spark, "").removeprefix("file:"))
+    before = set(root.glob("*"))
+    timing.run_reports(raw, lambda name: {"path": f"{target}/{name}"})
+    assert set(root.glob("*")) - before == {Path(target.removeprefix("file:"))}

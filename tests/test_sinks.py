@@ -115,17 +115,46 @@ def test_inferred_csv(spark, tmp_path):
 
 
 def test_training_csv_is_permissive_and_by_position(spark, tmp_path):
-    header = ",".join(f"h{i}" for i in range(len(TRAIN_SCHEMA)))
-    text = header + "\nAA,LAX,SFO,one,10,1,0800,5.5,337,0930,0,0,S\n"
+    header = ",".join(TRAIN_SCHEMA.fieldNames())
+    text = header + "\nBrand#31,EU07,AM02,one,19,5150,0621,-2.5,1044,0833,0,0,International\n"
     path = csv_file(tmp_path, text)
-    rows = files.read_training_csv(spark, path).collect()
-    assert [(r.UniqueCarrier, r.Month, r.DepDelay) for r in rows] == [("AA", None, 5.5)]
-    as_data = files.read_training_csv(spark, path, header=False).collect()
-    assert [(r.UniqueCarrier, r.Month) for r in as_data] == [("h0", None), ("AA", None)]
+    rows = files.read_training_csv(spark, path, header=True).collect()
+    assert [(r.UniqueCarrier, r.Month, r.DepDelay) for r in rows] == [("Brand#31", None, -2.5)]
+    as_data = files.read_training_csv(spark, path).collect()
+    assert [(r.UniqueCarrier, r.Month) for r in as_data] == [
+        ("UniqueCarrier", None), ("Brand#31", None)]
+
+
+def test_files_without_a_header_keep_their_first_rows(spark, tmp_path):
+    line = "Brand#31,EU07,AM02,4,19,5150,0621,-2.5,1044,0833,0,0,International\n"
+    for name in ("a.csv", "b.csv"):
+        (tmp_path / name).write_text(line)
+    assert files.read_training_csv(spark, str(tmp_path)).count() == 2
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        files.read_training_csv(spark, str(tmp_path), header=True).collect()
+
+
+def test_raw_csv_is_read_by_name(spark, tmp_path):
+    names = ["EXTRA", *reversed(RAW_COLUMNS), "Unnamed: 27"]
+    values = ["e", *(name.lower() for name in reversed(RAW_COLUMNS)), ""]
+    path = csv_file(tmp_path, ",".join(names) + "\n" + ",".join(values) + "\n")
+    row = files.read_flights_csv(spark, path).first()
+    assert row.asDict() == {name: name.lower() for name in RAW_COLUMNS}
+    short = tmp_path / "short"
+    short.mkdir()
+    (short / "x.csv").write_text("ORIGIN,DEST\nEU07,AM02\n")
+    with pytest.raises(ValueError, match="no column FL_DATE, OP_CARRIER"):
+        files.read_flights_csv(spark, str(short))
+    other = tmp_path / "other"
+    other.mkdir()
+    (other / "a.csv").write_text("ORIGIN,DEST\nEU07,AM02\n")
+    (other / "b.csv").write_text("DEST,ORIGIN\nAM02,EU07\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        files.read_flights_csv(spark, str(other), ["ORIGIN", "DEST"]).collect()
 
 
 def test_literal_rows_and_messages(spark):
-    rows = [("AA", "LAX", "SFO", 1, 10, "AA1", "0800", 0.0, 337.0, "0930", 0, 0, "S")]
+    rows = [("Brand#44", "ME10", "ME04", 8, 30, "612", "1347", 9.0, 488.0, "1502", 0, 1, "Domestic")]
     df = files.literal_flights(spark, rows)
     assert df.schema == TRAIN_SCHEMA and [tuple(r) for r in df.collect()] == rows
     texts = [r.value for r in files.numbered_messages(spark).orderBy("value").collect()]

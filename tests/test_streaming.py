@@ -74,11 +74,19 @@ def test_console_sink(spark, landed, capfd):
     assert query.exception() is None
 
 
+def test_an_unfinished_run_is_an_error(spark):
+    writer = scorer.file_sink(
+        scorer.message_stream(spark), fresh_folder(spark, "unfinished"),
+        fresh_folder(spark, "checkpoint"), trigger="1 second")
+    with pytest.raises(TimeoutError, match="did not end"):
+        scorer.run_query(writer, timeout=2)
+
+
 def test_message_stream(spark):
     target = fresh_folder(spark, "messages")
     writer = scorer.file_sink(
         scorer.message_stream(spark, per_second=50), target,
         fresh_folder(spark, "checkpoint"), trigger="1 second")
-    scorer.run_query(writer, timeout=6)
+    scorer.run_for(writer, 6)
     texts = [r.value for r in spark.read.schema("value string").parquet(target).collect()]
     assert set(texts) == {f"Message {i}" for i in range(len(texts))} and texts
