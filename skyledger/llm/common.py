@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute
@@ -16,7 +16,7 @@ SLICE_BYTES = 4 << 20
 
 __all__ = [
     "SLICE_BYTES", "bucket_of", "free_name", "identified", "materialize", "read_table",
-    "same", "slices", "texts_of",
+    "slices", "texts_of",
 ]
 
 
@@ -48,14 +48,6 @@ def identified(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_key"))
 
 
-def same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    """Equality of the named columns in which two nulls are equal."""
-    found = F.lit(True)
-    for name in names:
-        found = found & left[name].eqNullSafe(right[name])
-    return found
-
-
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     """The rows of `batches`, in pieces of at most SLICE_BYTES of text or one row."""
     for batch in batches:
