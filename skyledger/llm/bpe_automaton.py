@@ -31,9 +31,9 @@ from skyledger.llm.byte_level import (
 )
 from skyledger.llm.common import slices, texts_of
 
-# Entries a worker keeps of arcs and of encoded words; a full table is emptied.
-KEPT_ARCS = 500_000
-KEPT_WORDS = 400_000
+# Entries a task keeps of arcs and of encoded words; a full table is emptied.
+KEPT_ARCS = 200_000
+KEPT_WORDS = 200_000
 _ALWAYS = 1 << 60
 
 
@@ -150,6 +150,11 @@ class Automaton:
                 ids.append(special)
         return ids
 
+    def forget(self) -> None:
+        """Empty the tables of looked-up arcs and words; a worker may have other tasks next."""
+        self._arcs.clear()
+        self._words.clear()
+
     def decode(self, ids: list[int]) -> str:
         """The arc labels in order; bytes that are not UTF-8 become U+FFFD."""
         return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")
@@ -183,6 +188,7 @@ def _encoder(source, with_ids: bool) -> Callable[[Iterator], Iterator]:
             if with_ids:
                 columns["ids"] = pa.array(lists, pa.list_(pa.int32()))
             yield pa.RecordBatch.from_pydict(columns)
+        automaton.forget()
     return run
 
 

@@ -48,13 +48,15 @@ def identified(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_key"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The rows of `batches`, in pieces of at most SLICE_BYTES of text or one row."""
+def slices(
+    batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES,
+) -> Iterator[pa.RecordBatch]:
+    """The rows of `batches`, in pieces of at most `most` bytes of text or one row."""
     for batch in batches:
         start = size = 0
         lengths = pa.compute.binary_length(batch.column(text)).to_pylist()
         for row, length in enumerate(lengths):
-            if row > start and size + (length or 0) > SLICE_BYTES:
+            if row > start and size + (length or 0) > most:
                 yield batch.slice(start, row - start)
                 start, size = row, 0
             size += length or 0

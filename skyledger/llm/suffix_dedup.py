@@ -30,7 +30,7 @@ from skyledger.session import fresh_folder
 LENGTH, K, SPAN = 50, 8, 25
 REACH = LENGTH - SPAN + 1
 # Windows that a task gathers before it sends its blocks, and windows for each shard.
-TASK_WINDOWS, SHARD_WINDOWS = 3_000_000, 4_000_000
+TASK_WINDOWS, SHARD_WINDOWS = 500_000, 1_000_000
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SPACE = re.compile(r"[\x20\x09-\x0D]*")
 NO_ID = np.iinfo(np.int64).min
@@ -146,7 +146,9 @@ def _candidates(texts: DataFrame) -> DataFrame:
     order = ["key", "text_key", "at"]
     ranked = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
     found = ranked.mapInArrow(_beside_an_equal, "text_key bigint, at int")
-    by_text = found.groupBy("text_key").agg(F.collect_set("at").alias("suffixes"))
+    # written, so that the join deals its rows out anew and can split the copies of one text
+    by_text = materialize(
+        found.groupBy("text_key").agg(F.collect_set("at").alias("suffixes")), "suffixes-of-texts")
     return materialize(texts.join(by_text, "text_key"), "repeating")
 
 

@@ -29,6 +29,8 @@ SAMPLE_ROWS = 20_000
 # A word or stem enters the lexicon if at least this many of its different surroundings are toxic, as
 # a share of all of them and in standard deviations above the share of toxic documents.
 LEAST_SUPPORT, LEAST_SHARE, LEAST_Z = 8, 0.9, 6.0
+# Bytes of text whose entries a task counts at once.
+COUNTED_BYTES = 1 << 20
 # Lengths of the stems that a whole family of words may share, and their mark in a lexicon.
 STEMS, STEM = (3, 7), "*"
 # A phrase of a lexicon word and a neighbour is an exception below this share.
@@ -171,7 +173,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, trains: Colu
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in slices(batches, most=COUNTED_BYTES):
         counts = {0: Counter(), 1: Counter()}
         for text, y in zip(texts_of(batch), batch.column("y").to_pylist(), strict=True):
             words = set(folded_words(text))
@@ -186,7 +188,7 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def _surroundings(wanted: set[str]):
     """Each candidate entry with the word it matches and the words beside it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=COUNTED_BYTES):
             rows = set()
             for text, y in zip(texts_of(batch), batch.column("y").to_pylist(), strict=True):
                 words = ["", *folded_words(text), ""]
