@@ -27,12 +27,14 @@ from skyledger.llm.common import bucket_of, slices, texts_of
 from skyledger.llm.hashing import BASE, ODD, grouped, mapped, mix, word_hashes, write_table
 from skyledger.session import fresh_folder
 
-# Tokens that a task counts before it sends its blocks, and bigram tokens for each shard.
-TASK_TOKENS, SHARD_TOKENS = 4_000_000, 4_000_000
+# Tokens that a task counts before it sends its blocks, and tokens for each shard. Both bound what
+# a task holds (about 120 bytes a token); raise them with the memory and the size of the corpus.
+TASK_TOKENS, SHARD_TOKENS = 1_000_000, 1_000_000
 # The bigrams of one context go to up to this many shards.
 SPREAD = 16
-# Tokens that are looked up at once.
-BATCH_TOKENS = 2_000_000
+# Bytes of text that are cut into words at once, and tokens that are looked up at once.
+CUT_BYTES = 1 << 20
+BATCH_TOKENS = 400_000
 
 END, START = np.uint64(1), np.uint64(2)
 WORD = np.dtype([("count", "<u8"), ("before", "<u4"), ("n1", "<u4"), ("n2", "<u4"),
@@ -125,7 +127,7 @@ def _blocks(shards: int):
                 [pa.array(names, pa.int32()), pa.array(blobs, pa.binary())],
                 names=["shard", "block"])
 
-        for batch in slices(batches):
+        for batch in slices(batches, most=CUT_BYTES):
             tokens, sizes = tokens_of(texts_of(batch))
             parts.append((_contexts(tokens, sizes), tokens))
             held += len(tokens)
@@ -148,7 +150,8 @@ def _merge_pairs(folder: str, shards: int):
                 [np.concatenate([p[2] for p in parts])])
             pairs = _pair_key(context, word)
             order = np.argsort(pairs)
-            write_table(folder, f"pairs-{shard}", pairs[order], n[order].astype("<u8"))
+            write_table(folder, f"pairs-{shard}", pairs[order], n[order].astype(
+                np.min_scalar_type(n.max()).newbyteorder("<")))
             ones = [(n == 1), (n == 2), (n >= 3)]
             (heads,), sums = grouped([context], [n, *ones])
             (tails,), (before,) = grouped([word], [np.ones(len(word), np.int64)])
@@ -282,10 +285,12 @@ class Scorer:
 
     def _shard_of(self, name: str, shard: int) -> tuple[np.ndarray, np.ndarray]:
         if (name, shard) not in self._files:
-            kind = WORD if name == "words" else np.dtype("<u8")
-            self._files[name, shard] = (
-                mapped(self.model.folder, f"{name}-{shard}.keys", np.dtype("<u8")),
-                mapped(self.model.folder, f"{name}-{shard}.rows", kind))
+            keys = mapped(self.model.folder, f"{name}-{shard}.keys", np.dtype("<u8"))
+            rows = mapped(self.model.folder, f"{name}-{shard}.rows",
+                          WORD if name == "words" else np.dtype("u1"))
+            if name == "pairs" and len(keys):  # counts take as few bytes as their largest needs
+                rows = rows.view(f"<u{len(rows) // len(keys)}")
+            self._files[name, shard] = keys, rows
         return self._files[name, shard]
 
     def _look_up(self, name: str, keys: np.ndarray, homes: np.ndarray) -> np.ndarray:
@@ -360,7 +365,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer, parts, held = _scorer(model), [], 0
-        for batch in slices(batches):
+        for batch in slices(batches, most=CUT_BYTES):
             parts.append((batch.column("doc_id").to_pylist(), *tokens_of(texts_of(batch))))
             held += len(parts[-1][1])
             if held >= BATCH_TOKENS:
