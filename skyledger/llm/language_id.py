@@ -126,15 +126,21 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def training_sample(docs: DataFrame, trains: Column, rows: int = ROWS_PER_LANGUAGE) -> DataFrame:
     """lang and feature vector of at most `rows` labelled texts of each language, written once.
 
-    Rows with a null or empty lang, or without a letter, teach nothing. The limit is applied
-    before rows are shuffled, so a language with most of the rows is no burden.
+    Rows with a null or empty lang, or without a letter, teach nothing. A language's texts are
+    thinned out by their hash to about half as many again as are wanted before any is
+    shuffled, so a language with most of the rows is no burden.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"))
-    labelled = docs.where(F.col("lang").isNotNull() & (F.col("lang") != "") & trains
-                          & F.col("text").rlike(r"\p{L}"))
-    keys = (labelled.select("lang", "doc_id", "text").withColumn("n", F.row_number().over(order))
-            .where(F.col("n") <= rows).drop("n"))
-    found = keys.select("lang", "text").mapInArrow(
+    labelled = docs.where(F.col("lang").isNotNull() & (F.col("lang") != "") & trains)
+    sizes = {row.lang: row["count"] for row in labelled.groupBy("lang").count().collect()}
+    share = F.lit(0.0)
+    for lang, size in sizes.items():  # one row for each language
+        share = F.when(F.col("lang") == lang, 1.5 * rows / size).otherwise(share)
+    order = F.xxhash64("doc_id", "text")
+    drawn = F.pmod(order, F.lit(1 << 30)) < share * (1 << 30)
+    first = Window.partitionBy("lang").orderBy(order)
+    kept = (labelled.where(drawn & F.col("text").rlike(r"\p{L}"))
+            .withColumn("n", F.row_number().over(first)).where(F.col("n") <= rows))
+    found = kept.select("lang", "text").mapInArrow(
         _features, "lang string, slots array<int>, shares array<double>")
     return materialize(found, "languages")
 
