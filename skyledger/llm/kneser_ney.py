@@ -184,9 +184,9 @@ def _merge_pairs(folder: str, shards: int):
 
 
 def _merge_words(folder: str):
-    """Write each shard's table of words; return its totals."""
+    """Write each shard's table of words; return its totals and those that came with the blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, parts = None, []
+        shard, parts, tokens, pairs = None, [], 0, np.zeros(4, np.int64)
 
         def finish() -> pa.RecordBatch:
             rows = np.concatenate(parts)
@@ -198,11 +198,18 @@ def _merge_words(folder: str):
             write_table(folder, f"words-{shard}", keys, table)
             before, real = table["before"], keys != START
             kinds = [int((before[real] == k).sum()) for k in range(1, 5)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([int(real.sum())]), pa.array([int(before.sum())]),
-                 pa.array([kinds], pa.list_(pa.int64()))], names=["words", "before", "kinds"])
+            return totals(int(real.sum()), int(before.sum()), kinds, 0, [0] * 4)
+
+        def totals(words, before, word_kinds, tokens, pair_kinds) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({
+                "words": pa.array([words], pa.int64()), "before": pa.array([before], pa.int64()),
+                "word_kinds": pa.array([word_kinds], pa.list_(pa.int64())),
+                "tokens": pa.array([tokens], pa.int64()),
+                "pair_kinds": pa.array([pair_kinds], pa.list_(pa.int64()))})
 
         for batch in batches:
+            tokens += sum(batch.column("tokens").to_pylist())
+            pairs += np.array(batch.column("kinds").to_pylist(), np.int64).reshape(-1, 4).sum(axis=0)
             for name, blob in zip(batch.column("shard").to_pylist(), batch.column("block"),
                                   strict=True):
                 if name != shard and parts:
@@ -212,6 +219,7 @@ def _merge_words(folder: str):
                 parts.append(np.frombuffer(blob.as_buffer().to_pybytes(), KEYED))
         if parts:
             yield finish()
+        yield totals(0, 0, [0] * 4, tokens, pairs.tolist())
     return run
 
 
@@ -254,21 +262,18 @@ def fit(docs: DataFrame) -> Model:
     merged = (blocks.repartition(shards, "shard").sortWithinPartitions("shard")
               .mapInArrow(_merge_pairs(folder, shards),
                           "shard int, block binary, kinds array<bigint>, tokens bigint"))
-    path = fresh_folder(spark, "bigram-words")
-    merged.write.parquet(path)
-    words = spark.read.schema(merged.schema).parquet(path)
-
-    def total(kind: int) -> Column:
-        return F.coalesce(F.sum(F.get("kinds", kind)), F.lit(0))
-
-    counted = words.agg(F.coalesce(F.sum("tokens"), F.lit(0)), *map(total, range(4))).first()
-    totals = (words.select("shard", "block").repartition(shards, "shard")
-              .sortWithinPartitions("shard")
-              .mapInArrow(_merge_words(folder), "words bigint, before bigint, kinds array<bigint>"))
-    summed = totals.agg(F.coalesce(F.sum("words"), F.lit(0)),
-                        F.coalesce(F.sum("before"), F.lit(0)), *map(total, range(4))).first()
-    return Model(folder, shards, counted[0], summed[0], summed[1], tuple(counted[1:]),
-                 tuple(summed[2:]))
+    totals = (merged.repartition(shards, "shard").sortWithinPartitions("shard")
+              .mapInArrow(_merge_words(folder), "words bigint, before bigint, "
+                          "word_kinds array<bigint>, tokens bigint, pair_kinds array<bigint>"))
+
+    def total(value: Column | str) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0))
+
+    found = totals.agg(
+        total("tokens"), total("words"), total("before"),
+        *(total(F.get("pair_kinds", F.lit(k))) for k in range(4)),
+        *(total(F.get("word_kinds", F.lit(k))) for k in range(4))).first()
+    return Model(folder, shards, *found[:3], tuple(found[3:7]), tuple(found[7:]))
 
 
 class Scorer:
