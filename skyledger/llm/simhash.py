@@ -203,15 +203,20 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """One row of each class, with all its columns: that of the smallest doc_id.
-
-    A class without any doc_id keeps the text of smallest hash; of repeated rows one stays.
-    """
+def first_of_classes(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The row of the smallest doc_id for each root of `rows`, with all columns of `docs`."""
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    kept = classes(docs, shingle).groupBy("root").agg(F.min(first).alias("k")).select(
+    kept = rows.groupBy("root").agg(F.min(first).alias("k")).select(
         F.col("k.doc_id").alias("kept_id_"), F.col("k.text_key").alias("kept_key_"))
     key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     found = docs.join(kept, docs["doc_id"].cast("bigint").eqNullSafe(kept["kept_id_"]) & (
         key == kept["kept_key_"]))
     return found.dropDuplicates(["kept_id_", "kept_key_"]).select(docs["*"])
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """One row of each class, with all its columns: that of the smallest doc_id.
+
+    A class without any doc_id keeps the text of smallest hash; of repeated rows one stays.
+    """
+    return first_of_classes(docs, classes(docs, shingle))
