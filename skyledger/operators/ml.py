@@ -247,10 +247,13 @@ def score(df: DataFrame, model: PipelineModel, keep: list[str] | None = None) ->
         *names, "prediction", describe_prediction("prediction").alias("DelayDescription"))
 
 
-def class_probabilities(df: DataFrame, model: PipelineModel) -> DataFrame:
+def class_probabilities(
+    df: DataFrame, model: PipelineModel, keep: list[str] | None = None,
+) -> DataFrame:
+    """The probability of each class for raw flights, behind the columns to keep."""
+    names = RESULT_COLUMNS[:4] if keep is None else keep
     return model.transform(preprocess(df)).select(
-        "UniqueCarrier", "Origin", "Dest", "CRSDepTime",
-        vector_to_array("probability").alias("probability"))
+        *names, vector_to_array("probability").alias("probability"))
 
 
 METADATA_SCHEMA = StructType([

@@ -578,11 +578,10 @@ def ml_probabilities(spark: SparkSession, sf: str) -> DataFrame:
     """Each flight, its number of probabilities, that they sum to 1, and that the largest is
     that of the predicted class."""
     model = _run(spark, sf, "logistic").model
-    scored = model.transform(ml.preprocess(_keyed_flights(spark, sf)))
-    shares = scored.select(*KEYS, "prediction", vector_to_array("probability").alias("p"))
-    total = F.aggregate("p", F.lit(0.0), lambda a, b: a + b)
-    best = F.get("p", F.col("prediction").cast("int")) == F.array_max("p")
-    return shares.select(*KEYS, F.size("p").alias("classes"),
+    shares = ml.class_probabilities(_keyed_flights(spark, sf), model, [*KEYS, "prediction"])
+    total = F.aggregate("probability", F.lit(0.0), lambda a, b: a + b)
+    best = F.get("probability", F.col("prediction").cast("int")) == F.array_max("probability")
+    return shares.select(*KEYS, F.size("probability").alias("classes"),
                          (F.abs(total - 1) < 1e-9).alias("sums_to_one"), best.alias("best_is_predicted"))
 
 
