@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm import (
     bpe_automaton,
+    conversation_repair,
     decontamination,
     kneser_ney,
     language_id,
@@ -90,3 +91,9 @@ def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.passages(read_table(spark, sf, "documents"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    damaged = conversation_repair.damage(read_table(spark, sf, "conversations"))
+    return conversation_repair.reports(damaged)
