@@ -15,6 +15,8 @@ from skyledger.llm import (
     language_id,
     quality_ledger,
     simhash,
+    spelling,
+    substring_dedup,
     suffix_dedup,
     token_counts,
     toxicity,
@@ -97,3 +99,17 @@ def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
     damaged = conversation_repair.damage(read_table(spark, sf, "conversations"))
     return conversation_repair.reports(damaged)
+
+
+@query
+def op12_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf, "documents"))
+
+
+@query
+def op11_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup.repeated_passages(read_table(spark, sf, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+ORACLE_SQL["op11_substring_dedup"] = substring_dedup.ORACLE_SQL
