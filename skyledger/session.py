@@ -84,11 +84,11 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _HANDED_OUT.get():
-            _delete(spark, path)
+            delete(spark, path)
         _HANDED_OUT.reset(token)
 
 
-def _delete(spark: SparkSession, name: str) -> None:
+def delete(spark: SparkSession, name: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(name)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -108,6 +108,12 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that `materialize` wrote, once what was made of it is written too."""
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        delete(df.sparkSession, folder)
+
+
 def discard_application_folder(spark: SparkSession) -> None:
     """Delete the tables this application wrote to the shared folder.
 
@@ -116,4 +122,4 @@ def discard_application_folder(spark: SparkSession) -> None:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named and spark.sparkContext.getCheckpointDir() is None:
         return
-    _delete(spark, application_folder(spark, ""))
+    delete(spark, application_folder(spark, ""))
