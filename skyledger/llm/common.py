@@ -9,13 +9,13 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.session import materialize
+from skyledger.session import discard, materialize
 
 # Bytes of text that a Python task handles at once; one longer text is handled alone.
 SLICE_BYTES = 4 << 20
 
 __all__ = [
-    "SLICE_BYTES", "bucket_of", "free_name", "identified", "materialize", "read_table",
+    "SLICE_BYTES", "bucket_of", "discard", "free_name", "identified", "materialize", "read_table",
     "slices", "texts_of",
 ]
 

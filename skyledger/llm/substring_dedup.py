@@ -18,13 +18,15 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import identified, materialize, slices, texts_of
+from skyledger.llm.common import discard, identified, materialize, slices, texts_of
 from skyledger.llm.hashing import BASE, ODD, mix, word_hashes
 
 WINDOW, K = 20, 6
@@ -202,22 +204,31 @@ def _twins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _sources(*([part] for part in waiting), [waiting[0]], [-1])
 
 
+def _listed(column: pa.Array) -> list[dict[str, np.ndarray]]:
+    """The structs in each list of a column, as one array for each field; null is an empty list."""
+    ends = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy())
+    flat = column.flatten()
+    fields = {name: flat.field(name).to_numpy() for name in ("at", "src_doc", "src_at")}
+    starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+    return [{name: values[a:b] for name, values in fields.items()}
+            for a, b in zip(starts, ends, strict=True)]
+
+
 class _Known:
     """What the index tells about the windows of one text."""
 
-    def __init__(self, words: Words, told: list[dict]) -> None:
+    def __init__(self, words: Words, told: dict[str, np.ndarray]) -> None:
         count = len(words) - WINDOW + 1
-        with_source = sorted((row["at"], row["src_doc"], row["src_at"])
-                             for row in told if row["src_at"] >= 0)
-        self._at = np.array([row[0] for row in with_source], np.int64)
-        self._doc = np.array([row[1] for row in with_source], np.int64)
-        self._from = np.array([row[2] for row in with_source], np.int64)
+        rows = np.flatnonzero(told["src_at"] >= 0)
+        rows = rows[np.argsort(told["at"][rows], kind="stable")]
+        self._at = told["at"][rows].astype(np.int64)
+        self._doc = told["src_doc"][rows]
+        self._from = told["src_at"][rows].astype(np.int64)
         self.repeated = self._around(self._at, count) > 0
         # An equal window has the same least hash, so the anchor that has it needs a twin.
         hashes, least = _starts(words)
         others = np.full(len(hashes), np.iinfo(np.uint64).max, np.uint64)
-        twins = np.array([row["at"] for row in told], np.int64)
-        others[twins] = hashes[twins]
+        others[told["at"]] = hashes[told["at"]]
         self.open = (_slide(others, SPAN, np.minimum) == least) & ~self.repeated
 
     @staticmethod
@@ -265,7 +276,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         names = zip(batch.column("doc").to_pylist(), batch.column("text_key").to_pylist(),
                     strict=True)
-        told = batch.column("told").to_pylist()
+        told = _listed(batch.column("told"))
         for (doc, text_key), text, rows in zip(names, texts_of(batch), told, strict=True):
             words = Words(text)
             at = np.flatnonzero(_Known(words, rows).open)
@@ -314,22 +325,20 @@ def _factors(starts, docs, first) -> list[dict]:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         removed, shas, factors = [], [], []
-        told, found = batch.column("told").to_pylist(), batch.column("found").to_pylist()
+        told, found = _listed(batch.column("told")), _listed(batch.column("found"))
         for text, known, more in zip(texts_of(batch), told, found, strict=True):
             starts, docs, first = _Known(Words(text), known).sources()
-            if more:
-                starts = np.concatenate([starts, [row["at"] for row in more]])
-                docs = np.concatenate([docs, [row["src_doc"] for row in more]])
-                first = np.concatenate([first, [row["src_at"] for row in more]])
-                starts, rows = np.unique(starts, return_index=True)
-                docs, first = docs[rows], first[rows]
+            if len(more["at"]):
+                starts, rows = np.unique(
+                    np.concatenate([starts, more["at"].astype(np.int64)]), return_index=True)
+                docs = np.concatenate([docs, more["src_doc"]])[rows]
+                first = np.concatenate([first, more["src_at"].astype(np.int64)])[rows]
             words = text.encode().split()
-            edges = np.zeros(len(words) + 1, np.int64)
-            np.add.at(edges, starts, 1)
-            np.add.at(edges, starts + WINDOW, -1)
+            edges = np.bincount(starts, minlength=len(words) + 1)
+            edges = edges - np.bincount(starts + WINDOW, minlength=len(words) + 1)
             gone = np.cumsum(edges)[:-1] > 0
             removed.append(int(gone.sum()))
-            shas.append(digest([words[i] for i in np.flatnonzero(~gone)]))
+            shas.append(digest(list(compress(words, (~gone).tolist()))))
             factors.append(_factors(starts, docs, first))
         yield pa.RecordBatch.from_pydict({
             "doc": batch.column("doc"), "text_key": batch.column("text_key"),
@@ -371,7 +380,10 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     sources = "doc bigint, text_key bigint, at int, src_doc bigint, src_at int"
     told = _by_text(index.repartitionByRange(*order).sortWithinPartitions(*order)
                     .mapInArrow(_twins, sources), "told")
+    rows = materialize(parsed.select("doc", "text_key", "n_words", "sha"), "rows")
+    discard(parsed)
     repeating = materialize(texts.join(told, ["doc", "text_key"]), "repeating")
+    discard(told)
     windows = materialize(
         repeating.select("doc", "text_key", "text", "told").mapInArrow(
             _windows, f"h1 bigint, h2 int, {sources}"), "windows")
@@ -380,10 +392,11 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
                 .sortWithinPartitions(*order).mapInArrow(_compared, sources))
     found = _by_text(compared.unionAll(
         windows.where("src_at >= 0").select(*PLACE, "src_doc", "src_at")), "found")
+    discard(windows)
     cut = repeating.join(found, ["doc", "text_key"], "left").select(
         "doc", "text_key", "text", "told", "found").mapInArrow(_cut, _DIGEST)
     cut = materialize(cut.dropDuplicates(["doc", "text_key"]), "cut")
-    rows = parsed.select("doc", "text_key", "n_words", "sha")
+    discard(repeating)
     return rows.join(cut, ["doc", "text_key"], "left").select(
         F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "text_key", "n_words",
         F.coalesce("n_removed", F.lit(0)).cast("bigint").alias("n_removed"),
@@ -397,14 +410,14 @@ WITH words AS (
                              lambda w: w <> '') AS w
   FROM documents),
 windows AS (
-  SELECT doc_id, at, array_to_string(w[at:at + 19], ' ') AS words
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS at FROM words)),
-firsts AS (SELECT words, min((doc_id, at)) AS place FROM windows GROUP BY words),
+  SELECT doc_id, n, array_to_string(w[n:n + 19], ' ') AS words
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS n FROM words)),
+firsts AS (SELECT words, min((doc_id, n)) AS place FROM windows GROUP BY words),
 later AS (
-  SELECT doc_id, at FROM windows JOIN firsts USING (words) WHERE (doc_id, at) > place),
+  SELECT doc_id, n FROM windows JOIN firsts USING (words) WHERE (doc_id, n) > place),
 gone AS (
   SELECT doc_id, list(DISTINCT n) AS gone
-  FROM (SELECT doc_id, unnest(range(at, at + 20)) AS n FROM later) GROUP BY doc_id),
+  FROM (SELECT doc_id, unnest(range(n, n + 20)) AS n FROM later) GROUP BY doc_id),
 kept AS (
   SELECT doc_id, len(w) AS n_words,
          list_filter(w, lambda word, i: NOT list_contains(coalesce(gone, []), i)) AS left_over
