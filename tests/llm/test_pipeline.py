@@ -9,7 +9,7 @@ from cases import odd_documents
 from skyledger.llm import suffix_dedup, toxicity
 from skyledger.llm.common import bucket_of, materialize, read_table
 from test_decontamination import brute as brute_leaks
-from test_simhash import brute_classes, brute_fingerprint
+from test_near_copies import brute_kept
 from test_suffix_dedup import brute as brute_windows
 from test_suffix_dedup import words
 from tokenizers import Tokenizer
@@ -47,18 +47,16 @@ def test_toxicity(spark, sf_dir, steps):
 
 
 def test_simhash(steps):
+    """The stage keeps one text of those that share 0.8 of their five-word shingles."""
     docs, out = steps["simhash"]
-    fps = {doc: brute_fingerprint(text) for doc, text in pairs(docs)}
-    roots, least = brute_classes(set(fps.values())), {}
-    for doc, fp in fps.items():
-        least[roots[fp]] = min(least.get(roots[fp], doc), doc)
-    assert sorted(doc for doc, _ in pairs(out)) == sorted(least.values())
+    assert sorted(doc for doc, _ in pairs(out)) == brute_kept(pairs(docs))
+    assert out.count() < docs.count()
 
 
 def test_passages(steps):
     docs, out = steps["passages"]
     cut = {}
-    for doc, at, _, first in brute_windows(pairs(docs)):
+    for doc, _, at, _, first in brute_windows(pairs(docs)):
         if not first:
             cut.setdefault(doc, set()).update(range(at, at + suffix_dedup.LENGTH))
     want = [(doc, [w for i, w in enumerate(words(text)) if i not in cut.get(doc, ())])
