@@ -150,10 +150,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, text_key, n_words, n_hit, n_items, items_sha256 and contaminated.
 
     `docs` has doc_id and text, `benchmark` has item_id and text; other columns are not read,
-    whatever their names. One row for each document: rows that agree in doc_id and text are
-    one. A null or empty text has no words and no hits, and an item without words has no
-    windows. A null item_id hits but is not listed. Items with equal windows all count. Empty
-    tables give no rows or no hits.
+    whatever their names. One row for each input row; rows that agree in doc_id and text have equal
+    results. A null or empty text has no words and no hits, and an item without words has no
+    windows. A null item_id hits but is not listed. Items with equal windows all count. Very long
+    texts are read whole, as rows of their fingerprints. Empty tables give no rows or no hits.
     """
     texts = identified(docs)
     of_items = benchmark_windows(benchmark)
@@ -187,9 +187,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = materialize(
         spans.unionAll(counts).groupBy(*DOC).agg(
             F.max("n_words").cast("bigint").alias("n_words"),
+            F.count(F.when(F.col("span").isNull(), 1)).alias("copies"),
             _covered(F.collect_set("span")).cast("bigint").alias("n_hit"),
             F.sort_array(F.collect_set("window")).alias("windows")), "hit-documents")
-    return _with_items(found, of_items.select("item_id", window))
+    return _repeated(_with_items(found, of_items.select("item_id", window)))
+
+
+def _repeated(found: DataFrame, step: int = 4096) -> DataFrame:
+    """As many rows as `copies` says, dealt out in steps so that no row holds a long array."""
+    last = F.col("copies") - 1
+    steps = found.withColumn("step", F.explode(F.sequence(F.lit(0).cast("bigint"), last, F.lit(step).cast("bigint"))))
+    rows = F.sequence(F.col("step"), F.least(F.col("step") + (step - 1), last))
+    return steps.withColumn("row", F.explode(rows)).drop("step", "row", "copies")
 
 
 def _with_items(found: DataFrame, of_items: DataFrame) -> DataFrame:
@@ -202,7 +211,7 @@ def _with_items(found: DataFrame, of_items: DataFrame) -> DataFrame:
     named = listed.select("windows", F.size("ids").cast("bigint").alias("n_items"),
                           F.sha2(F.array_join("ids", ","), 256).alias("items_sha256"))
     clean = found.where(~hit).select(
-        *DOC, "n_words", "n_hit", F.lit(0).cast("bigint").alias("n_items"),
+        *DOC, "n_words", "n_hit", "copies", F.lit(0).cast("bigint").alias("n_items"),
         F.sha2(F.lit(""), 256).alias("items_sha256"))
     both = clean.unionAll(found.where(hit).join(named, "windows").select(*clean.columns))
     return both.withColumn("contaminated", F.col("n_hit") > 0)

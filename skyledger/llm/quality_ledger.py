@@ -140,10 +140,25 @@ def judge(found: DataFrame, policy: str = CURRENT) -> DataFrame:
         "kept", ~F.col("base_failed") & ~fails(POLICIES[policy]))
 
 
+def verdicts(found: DataFrame) -> DataFrame:
+    """A ledger with kept_<policy> for every policy and, under the current one, only_rule.
+
+    only_rule is the one rule that removes the text: without it the text would be kept. It is null
+    where no rule or several ones do.
+    """
+    def hit(policy: str) -> Column:
+        return F.col("fail_bits").bitwiseAND(F.lit(mask_of(POLICIES[policy])).cast("bigint"))
+
+    alone = F.coalesce(*(
+        F.when(hit(CURRENT) == mask_of([rule.name]), rule.name) for rule in RULES))
+    return found.select("*", *((hit(policy) == 0).alias(f"kept_{policy}") for policy in POLICIES),
+                        alone.alias("only_rule"))
+
+
 def ablations(found: DataFrame) -> DataFrame:
     """For each policy and each of its rules: what the rule fails, alone or with others.
 
-    policy, rule, kept (under the policy), failed (by the rule), only (removed by this rule and
+    policy, rule, kept (texts kept under the policy), failed (by the rule), only (removed by this rule and
     no other of the policy, so kept without it). Computed from one row for each distinct mask,
     of which there are at most two to the number of rules.
     """
@@ -199,9 +214,25 @@ m AS (
     CAST(length(regexp_replace(text, '[^!]', '', 'g')) AS BIGINT) AS n_exclamations
   FROM t LEFT JOIN l USING (doc_id) LEFT JOIN repeated USING (doc_id)),
 f AS (SELECT *, CAST({bits} AS BIGINT) AS fail_bits FROM m)
-SELECT *, fail_bits & {base} <> 0 AS base_failed, fail_bits & {current} = 0 AS kept FROM f
+{result}
 """
-ORACLE_SQL = (
-    _SQL.replace("{bits}", " + ".join(
-        f"CASE WHEN {rule.fails} THEN {1 << rule.bit} ELSE 0 END" for rule in RULES))
-    .replace("{base}", str(mask_of(BASE))).replace("{current}", str(mask_of(POLICIES[CURRENT]))))
+_BITS = " + ".join(f"CASE WHEN {rule.fails} THEN {1 << rule.bit} ELSE 0 END" for rule in RULES)
+_VERDICTS = ", ".join(f"fail_bits & {mask_of(names)} = 0 AS kept_{policy}"
+                      for policy, names in POLICIES.items())
+_CASES = ", ".join(
+    f"('{policy}', {mask_of(names)}, '{rule.name}', {1 << rule.bit})"
+    for policy, names in POLICIES.items() for rule in RULES if rule.name in names)
+_ONLY = " ".join(f"WHEN {1 << rule.bit} THEN '{rule.name}'" for rule in RULES)
+
+
+def _sql(result: str) -> str:
+    return _SQL.replace("{bits}", _BITS).replace("{result}", result)
+
+
+ORACLE_SQL = _sql(f"""SELECT *, fail_bits & {mask_of(BASE)} <> 0 AS base_failed,
+  fail_bits & {mask_of(POLICIES[CURRENT])} = 0 AS kept, {_VERDICTS},
+  CASE fail_bits & {mask_of(POLICIES[CURRENT])} {_ONLY} END AS only_rule FROM f""")
+ABLATIONS_SQL = _sql(f"""SELECT policy, "rule", count_if(fail_bits & mask = 0) AS kept,
+  count_if(fail_bits & bit <> 0) AS failed, count_if(fail_bits & mask = bit) AS "only"
+FROM f, (VALUES {_CASES}) AS c(policy, mask, "rule", bit) GROUP BY policy, "rule"
+""")

@@ -48,12 +48,22 @@ def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
-    return quality_ledger.judge(quality_ledger.ledger(read_table(spark, sf, "documents")))
+    found = quality_ledger.ledger(read_table(spark, sf, "documents"))
+    return quality_ledger.verdicts(quality_ledger.judge(found))
 
 
 ORACLE_SQL["op8_quality_rules"] = quality_ledger.ORACLE_SQL
 
 
+@query
+def quality_ablations(spark: SparkSession, sf: str) -> DataFrame:
+    """What each rule removes under each policy, over the ledger of all documents."""
+    return quality_ledger.ablations(quality_ledger.ledger(read_table(spark, sf, "documents")))
+
+
+ORACLE_SQL["quality_ablations"] = quality_ledger.ABLATIONS_SQL
+
+
 @query
 def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score_held_out(

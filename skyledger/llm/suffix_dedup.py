@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import identified, materialize, slices, texts_of
+from skyledger.llm.common import free_name, identified, materialize, slices, texts_of
 from skyledger.llm.hashing import BASE, ODD, mapped, mix, word_hashes, write_table
 from skyledger.session import fresh_folder
 
@@ -34,7 +34,7 @@ TASK_WINDOWS, SHARD_WINDOWS = 500_000, 1_000_000
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SPACE = re.compile(r"[\x20\x09-\x0D]*")
 NO_ID = np.iinfo(np.int64).min
-PLACE = np.dtype([("doc", "<i8"), ("at", "<i4")])
+PLACE = np.dtype([("doc", "<i8"), ("text", "<i8"), ("at", "<i4")])
 _SPANS = ("start bigint, length bigint, first_doc_id bigint, first_start bigint, "
           "is_first boolean")
 
@@ -159,29 +159,31 @@ def _window_starts(words: np.ndarray, suffixes: list[int]) -> np.ndarray:
     return np.unique(starts[(starts >= 0) & (starts <= len(words) - LENGTH)])
 
 
-def _windows(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
-    """For each row its id, the starts of its windows, their hashes, and its word count."""
+def _windows(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """For each row the places of its windows, their hashes, and its word count."""
     ids = [NO_ID if doc is None else doc for doc in batch.column("doc_id").to_pylist()]
-    for doc, text, suffixes in zip(
-            ids, texts_of(batch), batch.column("suffixes").to_pylist(), strict=True):
+    for doc, name, text, suffixes in zip(
+            ids, batch.column("text_key").to_pylist(), texts_of(batch),
+            batch.column("suffixes").to_pylist(), strict=True):
         words = word_keys(text)
         starts = _window_starts(words, suffixes)
-        yield doc, starts, Runs(words).hashes(starts, LENGTH), len(words)
+        places = np.empty(len(starts), PLACE)
+        places["doc"], places["text"], places["at"] = doc, name, starts
+        yield places, Runs(words).hashes(starts, LENGTH), len(words)
 
 
-def _first_places(keys, docs, places, repeated):
+def _first_places(keys, places, repeated):
     """Distinct keys, the first place of each, and whether it has another place as well."""
-    order = np.lexsort((places, docs, keys))
-    keys, docs, places, repeated = keys[order], docs[order], places[order], repeated[order]
+    order = np.lexsort((places["at"], places["text"], places["doc"], keys))
+    keys, places, repeated = keys[order], places[order], repeated[order]
     fresh = np.ones(len(keys), bool)
     fresh[1:] = keys[1:] != keys[:-1]
     at = np.flatnonzero(fresh)
     if not len(at):
-        return keys, docs, places, repeated
+        return keys, places, repeated
     # equal keys stand in order of place: any other place differs from the first
-    other = (docs != docs[at][np.cumsum(fresh) - 1]) | (places != places[at][np.cumsum(fresh) - 1])
-    again = np.logical_or.reduceat(repeated | other, at)
-    return keys[at], docs[at], places[at], again
+    other = places != places[at][np.cumsum(fresh) - 1]
+    return keys[at], places[at], np.logical_or.reduceat(repeated | other, at)
 
 
 def _home(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -194,9 +196,8 @@ def _blocks(shards: int):
         parts, held = [], 0
 
         def flush() -> pa.RecordBatch:
-            keys, docs, places = (np.concatenate([p[i] for p in parts]) for i in range(3))
-            keys, docs, places, again = _first_places(
-                keys, docs, places, np.zeros(len(keys), bool))
+            keys, places = (np.concatenate([p[i] for p in parts]) for i in range(2))
+            keys, places, again = _first_places(keys, places, np.zeros(len(keys), bool))
             home = _home(keys, shards)
             order = np.argsort(home, kind="stable")
             cuts = np.searchsorted(home[order], np.arange(shards + 1))
@@ -207,16 +208,15 @@ def _blocks(shards: int):
                     names.append(shard)
                     blobs.append(b"".join([
                         np.array([len(rows)], "<u8").tobytes(), keys[rows].tobytes(),
-                        docs[rows].tobytes(), places[rows].astype("<i4").tobytes(),
-                        np.packbits(again[rows]).tobytes()]))
+                        places[rows].tobytes(), np.packbits(again[rows]).tobytes()]))
             return pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.int32()), pa.array(blobs, pa.binary())],
                 names=["shard", "block"])
 
         for batch in slices(batches):
-            for doc, starts, hashes, _ in _windows(batch):
-                parts.append((hashes, np.full(len(starts), doc, np.int64), starts))
-                held += len(starts)
+            for places, hashes, _ in _windows(batch):
+                parts.append((hashes, places))
+                held += len(places)
                 if held >= TASK_WINDOWS:
                     yield flush()
                     parts, held = [], 0
@@ -228,10 +228,10 @@ def _blocks(shards: int):
 def _unpacked(blob: bytes):
     count = int(np.frombuffer(blob, "<u8", 1)[0])
     keys = np.frombuffer(blob, "<u8", count, 8)
-    docs = np.frombuffer(blob, "<i8", count, 8 + 8 * count)
-    places = np.frombuffer(blob, "<i4", count, 8 + 16 * count)
-    again = np.unpackbits(np.frombuffer(blob, np.uint8, -1, 8 + 20 * count), count=count)
-    return keys, docs, places, again.astype(bool)
+    places = np.frombuffer(blob, PLACE, count, 8 + 8 * count)
+    end = 8 + (8 + PLACE.itemsize) * count
+    again = np.unpackbits(np.frombuffer(blob, np.uint8, -1, end), count=count)
+    return keys, places, again.astype(bool)
 
 
 def _merge(folder: str):
@@ -240,12 +240,10 @@ def _merge(folder: str):
         shard, parts = None, []
 
         def finish() -> pa.RecordBatch:
-            keys, docs, places, again = _first_places(
-                *(np.concatenate([p[i] for p in parts]) for i in range(4)))
-            rows = np.zeros(int(again.sum()), PLACE)
-            rows["doc"], rows["at"] = docs[again], places[again]
-            write_table(folder, f"windows-{shard}", keys[again], rows)
-            return pa.RecordBatch.from_pydict({"repeated": pa.array([len(rows)], pa.int64())})
+            keys, places, again = _first_places(
+                *(np.concatenate([p[i] for p in parts]) for i in range(3)))
+            write_table(folder, f"windows-{shard}", keys[again], places[again])
+            return pa.RecordBatch.from_pydict({"repeated": pa.array([again.sum()], pa.int64())})
 
         for batch in batches:
             for name, blob in zip(batch.column("shard").to_pylist(), batch.column("block"),
@@ -296,15 +294,18 @@ class _Lookup:
         return found, places
 
 
-def _spans(doc: int, starts: np.ndarray, found: np.ndarray, places: np.ndarray) -> list[tuple]:
+def _spans(own_places: np.ndarray, found: np.ndarray, places: np.ndarray) -> list[tuple]:
     """Runs of repeated windows, each one word behind the last, first seen in one document."""
     rows = np.flatnonzero(found)
     if not len(rows):
         return []
-    at, docs, first = starts[rows], places["doc"][rows], places["at"][rows].astype(np.int64)
-    own = (docs == doc) & (first == at)
+    own = own_places[rows] == places[rows]
+    at = own_places["at"][rows].astype(np.int64)
+    docs, texts = places["doc"][rows], places["text"][rows]
+    first = places["at"][rows].astype(np.int64)
     breaks = np.ones(len(rows), bool)
-    breaks[1:] = (np.diff(at) != 1) | (docs[1:] != docs[:-1]) | (own[1:] != own[:-1])
+    breaks[1:] = (np.diff(at) != 1) | (docs[1:] != docs[:-1]) | (
+        texts[1:] != texts[:-1]) | (own[1:] != own[:-1])
     heads = np.flatnonzero(breaks)
     tails = np.append(heads[1:], len(rows)) - 1
     return [(int(at[a]), int(at[b] - at[a]) + LENGTH,
@@ -321,14 +322,14 @@ def _finder(table: Table):
         names = [field.name for field in span]
         for batch in slices(batches):
             rows = list(_windows(batch))
-            found, places = lookup.first_places(np.concatenate([r[2] for r in rows]))
-            ends = np.cumsum([len(r[1]) for r in rows])
+            found, places = lookup.first_places(np.concatenate([r[1] for r in rows]))
+            ends = np.cumsum([len(r[0]) for r in rows])
             spans = [[dict(zip(names, s, strict=True)) for s in _spans(
-                doc, starts, found[end - len(starts):end], places[end - len(starts):end])]
-                for (doc, starts, _, _), end in zip(rows, ends, strict=True)]
+                own, found[end - len(own):end], places[end - len(own):end])]
+                for (own, _, _), end in zip(rows, ends, strict=True)]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"),
-                "n_words": pa.array([r[3] for r in rows], pa.int64()),
+                "n_words": pa.array([r[2] for r in rows], pa.int64()),
                 "spans": pa.array(spans, pa.list_(span))})
     return run
 
@@ -338,14 +339,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     A span is a stretch of words of which each LENGTH in a row stand, word for word, at another
     place too. is_first: here is the earliest place of each of them; else first_doc_id has it,
-    that of the span's first words at first_start. Places are ordered by doc_id and word; start
-    counts words from 0, length is in words.
+    that of the span's first words at first_start. Places are ordered by doc_id, hash of the text
+    and word; start counts words from 0, length is in words.
 
     `docs` has doc_id and text; other columns are not read, whatever their names. One row for
     each input row with a span: documents without one do not appear. A null or empty text, or one
-    of fewer words, has no span. Rows that agree in doc_id are the same place if they agree
-    in the word, so repeated rows do not repeat each other; null ids count as one smallest id.
-    An empty table gives an empty result.
+    of fewer words, has no span. Rows that agree in doc_id and text are the same places, so repeated
+    rows do not repeat each other; different texts of one doc_id do. Null ids count as one smallest
+    id. Very long texts are handled whole, one at a time. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     texts = identified(docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"]))
@@ -390,10 +391,12 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     all others stay, and those without a cut are unchanged. n_chars, if there is such a
     column, is the length of the new text.
     """
+    cut_id, cut_key, cuts_of, fresh_text = (
+        free_name(docs, name) for name in ("cut_id", "cut_key", "cuts", "fresh"))
     cuts = repeated_spans(docs).select(
-        F.col("doc_id").alias("cut_id_"), F.col("text_key").alias("cut_key_"),
-        F.filter("spans", lambda span: ~span["is_first"]).alias("cuts_"))
-    cuts = cuts.where(F.size("cuts_") > 0).dropDuplicates(["cut_id_", "cut_key_"])
+        F.col("doc_id").alias(cut_id), F.col("text_key").alias(cut_key),
+        F.filter("spans", lambda span: ~span["is_first"]).alias(cuts_of))
+    cuts = cuts.where(F.size(cuts_of) > 0).dropDuplicates([cut_id, cut_key])
 
     @F.pandas_udf("string")
     def without(texts, spans):
@@ -401,13 +404,14 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
             text, [(span["start"], span["length"]) for span in found]))
 
     key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    joined = docs.join(cuts, docs["doc_id"].cast("bigint").eqNullSafe(cuts["cut_id_"]) & (
-        key == cuts["cut_key_"]), "left")
-    fresh = joined.withColumn("fresh_", F.when(
-        F.col("cuts_").isNotNull(), without(docs["text"], F.col("cuts_"))))
-    kept = fresh.where(F.col("fresh_").isNull() | F.col("fresh_").rlike(r"[^\x20\x09-\x0D]"))
-    changed = {"text": F.coalesce("fresh_", docs["text"])}
+    joined = docs.join(cuts, docs["doc_id"].cast("bigint").eqNullSafe(cuts[cut_id]) & (
+        key == cuts[cut_key]), "left")
+    joined = joined.withColumn(fresh_text, F.when(
+        F.col(cuts_of).isNotNull(), without(docs["text"], F.col(cuts_of))))
+    fresh = F.col(fresh_text)
+    kept = joined.where(fresh.isNull() | fresh.rlike(r"[^\x20\x09-\x0D]"))
+    changed = {"text": F.coalesce(fresh, docs["text"])}
     if "n_chars" in docs.columns:
-        length = F.length("fresh_").cast(docs.schema["n_chars"].dataType)
+        length = F.length(fresh).cast(docs.schema["n_chars"].dataType)
         changed["n_chars"] = F.coalesce(length, docs["n_chars"])
     return kept.select(*(changed[c].alias(c) if c in changed else docs[c] for c in docs.columns))

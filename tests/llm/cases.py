@@ -6,11 +6,12 @@ ODD_ROWS = [
     (None, None), (5, "One  TWO\nthree"), (6, LONG), (7, LONG), (7, LONG), (4, "another four"),
 ]
 EXTRA = ("words string, n_words string, score int, fp string, at string, text_key string, "
-         "spans string, digest string, label string, lang_pred string, m string")
+         "spans string, digest string, label string, lang_pred string, m string, "
+         "fresh string, cuts string, told string, doc string")
 
 
 def odd_documents(spark, rows=ODD_ROWS):
-    rows = [(*row, *["x"] * 2, 3, *["y"] * 8) for row in rows]
+    rows = [(*row, *["x"] * 2, 3, *["y"] * 12) for row in rows]
     return spark.createDataFrame(rows, f"doc_id bigint, text string, {EXTRA}")
 
 

@@ -84,3 +84,13 @@ def test_empty_table(spark):
 def test_no_python_in_the_plan(spark, capsys):
     ledger.judge(ledger.ledger(odd_documents(spark))).explain()
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
+
+
+def test_verdicts_of_all_policies(spark):
+    found = ledger.verdicts(ledger.ledger(odd_documents(spark, ROWS))).collect()
+    names = {1 << rule.bit: rule.name for rule in ledger.RULES}
+    for row in found:
+        for policy, rules in ledger.POLICIES.items():
+            assert row[f"kept_{policy}"] == (row.fail_bits & ledger.mask_of(rules) == 0)
+        assert row.only_rule == names.get(row.fail_bits & ledger.mask_of(
+            ledger.POLICIES[ledger.CURRENT]))

@@ -3,7 +3,9 @@
 import random
 import re
 
+import xxhash
 from cases import LONG, odd_documents
+from pyspark.sql import functions as F
 from skyledger.llm import queries, suffix_dedup
 
 SIZE = suffix_dedup.LENGTH
@@ -13,28 +15,41 @@ def words(text):
     return [w.encode().lower() for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
 
 
+def text_key(text):
+    key = xxhash.xxh64_intdigest((text or "").encode(), seed=42)
+    return key - (key >> 63 << 64)
+
+
 def brute(docs):
     """(doc, start, first doc, is first) of every repeated window; null ids come first."""
     low = suffix_dedup.NO_ID
     places = {}
     for doc, text in docs:
-        w = words(text)
+        w, key = words(text), text_key(text)
         for at in range(len(w) - SIZE + 1):
-            places.setdefault(tuple(w[at:at + SIZE]), set()).add((low if doc is None else doc, at))
+            places.setdefault(tuple(w[at:at + SIZE]), set()).add(
+                (low if doc is None else doc, key, at))
     found = set()
     for group in places.values():
         first = min(group)
-        found |= {(doc, at, first[0], (doc, at) == first) for doc, at in group if len(group) > 1}
+        found |= {(doc, key, at, first[0], (doc, key, at) == first) for doc, key, at in group
+                  if len(group) > 1}
     return found
 
 
 def windows(rows):
     low = suffix_dedup.NO_ID
     ids = lambda doc: low if doc is None else doc
-    return {(ids(r.doc_id), r.start + i, ids(r.first_doc_id), r.is_first)
+    return {(ids(r.doc_id), r.text_key, r.start + i, ids(r.first_doc_id), r.is_first)
             for r in rows for i in range(r.length - SIZE + 1)}
 
 
+def spans_of(docs):
+    """Every span with the hash of its text."""
+    return suffix_dedup.repeated_spans(docs).select(
+        "doc_id", "text_key", F.inline("spans")).collect()
+
+
 def fixture_rows():
     draw = random.Random(4)
     vocabulary = [f"v{i}" for i in range(300)]
@@ -53,7 +68,7 @@ def fixture_rows():
 
 def test_equals_a_table_of_all_windows(spark):
     rows = fixture_rows()
-    found = suffix_dedup.passages(odd_documents(spark, rows)).collect()
+    found = spans_of(odd_documents(spark, rows))
     assert windows(found) == brute(rows)
     assert all(r.length >= SIZE for r in found)
 
@@ -65,7 +80,7 @@ def test_suffixes_split_over_tasks_and_shards(spark, monkeypatch):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "37")
     try:
-        found = suffix_dedup.passages(odd_documents(spark, rows).repartition(9)).collect()
+        found = spans_of(odd_documents(spark, rows).repartition(9))
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
@@ -79,19 +94,19 @@ def test_only_the_earliest_place_keeps_a_passage(spark):
     assert kept.columns == docs.columns
     out = [(r.doc_id, r.text) for r in kept.collect()]
     cut = {}
-    for doc, at, _, first in brute(rows):
+    for doc, key, at, _, first in brute(rows):
         if not first:
-            cut.setdefault(None if doc == suffix_dedup.NO_ID else doc, set()).update(
+            cut.setdefault((None if doc == suffix_dedup.NO_ID else doc, key), set()).update(
                 range(at, at + SIZE))
     expected = []
     for doc, text in rows:
         w = words(text)
-        left = [x for i, x in enumerate(w) if i not in cut.get(doc, ())]
+        left = [x for i, x in enumerate(w) if i not in cut.get((doc, text_key(text)), ())]
         if left or not w:
             expected.append((doc, left))
     assert sorted(map(str, ((doc, words(text)) for doc, text in out))) == sorted(
         map(str, expected))
-    same = {(doc, text) for doc, text in rows if doc not in cut}
+    same = {(doc, text) for doc, text in rows if (doc, text_key(text)) not in cut}
     assert same <= set(out)
 
 
@@ -105,12 +120,24 @@ def test_cut_keeps_the_rest_of_the_text():
 
 def test_very_long_and_empty_tables(spark):
     docs = odd_documents(spark, [(6, LONG), (7, LONG), (7, LONG)])
-    found = suffix_dedup.passages(docs).collect()
-    assert windows(found) == brute([(6, LONG), (7, LONG)])
+    assert windows(spans_of(docs)) == brute([(6, LONG), (7, LONG)])
     assert suffix_dedup.passages(docs.limit(0)).count() == 0
     assert suffix_dedup.cut_repeats(docs.limit(0)).count() == 0
 
 
 def test_query_covers_every_document(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
-    assert windows(queries.op1_suffix_dedup(spark, sf_dir).collect()) == brute(docs)
+    found = queries.op1_suffix_dedup(spark, sf_dir)
+    named = {doc: text_key(text) for doc, text in docs}
+    assert {(r.doc_id, named[r.doc_id], r.start + i, r.first_doc_id, r.is_first)
+            for r in found.collect() for i in range(r.length - SIZE + 1)} == brute(docs)
+
+
+def test_texts_that_share_an_id_repeat_each_other(spark):
+    shared = " ".join(f"s{i}" for i in range(60))
+    for doc in (7, None):
+        rows = [(doc, shared + " a b"), (doc, shared + " c d e")]
+        found = spans_of(odd_documents(spark, rows))
+        assert sorted((r.start, r.length, r.is_first) for r in found) == [
+            (0, 60, False), (0, 60, True)]
+        assert windows(found) == brute(rows)
