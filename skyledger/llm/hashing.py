@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections import OrderedDict
+from collections.abc import Callable, Hashable
 from functools import lru_cache
 
 import numpy as np
@@ -10,6 +12,8 @@ import pyarrow.fs as fs
 
 # Bytes, or words, whose running sums are taken at once.
 PIECE = 1 << 20
+# Bytes of shards that a worker keeps in memory, where the folder is no mount.
+CACHED_BYTES = 256 << 20
 # Hashes up to this number are left free for marks such as the end of a text.
 MARKS = 2
 ODD, BASE = 0x9E3779B97F4A7C15, 0x2545F4914F6CDD1D
@@ -105,3 +109,30 @@ def mapped(folder: str, name: str, kind: np.dtype) -> np.ndarray:
         return np.frombuffer(source.read_buffer(), kind)
 
 
+class Shards:
+    """Arrays of shards as they are asked for, and the latest of them again.
+
+    Mapped arrays take no memory of their own and are kept. Others are kept up to `most` bytes,
+    and the one in use; what was not used for longest goes first and is read again when needed.
+    """
+
+    def __init__(
+        self, read: Callable[[Hashable], tuple[np.ndarray, ...]], most: int | None = None,
+    ) -> None:
+        self._read, self._most = read, CACHED_BYTES if most is None else most
+        self._known: OrderedDict[Hashable, tuple[np.ndarray, ...]] = OrderedDict()
+        self._held = 0
+
+    def __getitem__(self, shard: Hashable) -> tuple[np.ndarray, ...]:
+        if shard not in self._known:
+            self._known[shard] = self._read(shard)
+            self._held += self._bytes(shard)
+        self._known.move_to_end(shard)
+        while self._held > self._most and len(self._known) > 1:
+            oldest = next(iter(self._known))
+            self._held -= self._bytes(oldest)
+            del self._known[oldest]
+        return self._known[shard]
+
+    def _bytes(self, shard: Hashable) -> int:
+        return sum(part.nbytes for part in self._known[shard] if not isinstance(part, np.memmap))

@@ -24,12 +24,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import bucket_of, slices, texts_of
-from skyledger.llm.hashing import BASE, ODD, grouped, mapped, mix, word_hashes, write_table
+from skyledger.llm.hashing import BASE, ODD, Shards, grouped, mapped, mix, word_hashes, write_table
 from skyledger.session import fresh_folder
 
 # Tokens that a task counts before it sends its blocks, and tokens for each shard. Both bound what
 # a task holds (about 120 bytes a token); raise them with the memory and the size of the corpus.
 TASK_TOKENS, SHARD_TOKENS = 1_000_000, 1_000_000
+# Shards that words are dealt to, at most: each shard of bigrams sends every one of them a block, so
+# their number must not grow with the input. A vocabulary of 10^9 words has 8 MB in each.
+WORD_SHARDS = 4096
 # The bigrams of one context go to up to this many shards.
 SPREAD = 16
 # Bytes of text that are cut into words at once, and tokens that are looked up at once.
@@ -116,13 +119,10 @@ def _blocks(shards: int):
             (context, word), (n,) = grouped(keys, [np.ones(len(keys[0]), np.int64)])
             home = _shard(context, word, shards)
             order = np.argsort(home, kind="stable")
-            cuts = np.searchsorted(home[order], np.arange(shards + 1))
-            names, blobs = [], []
-            for shard in range(shards):
-                rows = order[cuts[shard]:cuts[shard + 1]]
-                if len(rows):
-                    names.append(shard)
-                    blobs.append(_pack_pairs(context[rows], word[rows], n[rows]))
+            at = np.flatnonzero(np.diff(home[order], prepend=-1))
+            names = home[order[at]]
+            blobs = [_pack_pairs(context[rows], word[rows], n[rows])
+                     for rows in (np.split(order, at[1:]) if len(at) else [])]
             return pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.int32()), pa.array(blobs, pa.binary())],
                 names=["shard", "block"])
@@ -139,7 +139,7 @@ def _blocks(shards: int):
     return run
 
 
-def _merge_pairs(folder: str, shards: int):
+def _merge_pairs(folder: str, word_shards: int):
     """Write each shard's bigram counts; pass on what they say about words, by word shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, parts = None, []
@@ -161,13 +161,17 @@ def _merge_pairs(folder: str, shards: int):
             for name, values in zip(("count", "n1", "n2", "n3"), sums, strict=True):
                 first[name] = values
             words["key"][len(heads):], words["before"][len(heads):] = tails, before
-            home = _word_shard(words["key"], shards)
+            home = _word_shard(words["key"], word_shards)
+            order = np.argsort(home, kind="stable")
+            words, home = words[order], home[order]
+            at = np.flatnonzero(np.diff(home, prepend=-1))  # shards that get any word
+            ends = np.append(at[1:], len(words))
             kinds = [int((n == k).sum()) for k in range(1, 5)]
-            blobs = [words[home == other].tobytes() for other in range(shards)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(shards), pa.int32()), pa.array(blobs, pa.binary()),
-                 pa.array([kinds] + [[0] * 4] * (shards - 1), pa.list_(pa.int64())),
-                 pa.array([int(n.sum())] + [0] * (shards - 1), pa.int64())],
+                [pa.array(home[at], pa.int32()),
+                 pa.array([words[a:b].tobytes() for a, b in zip(at, ends, strict=True)], pa.binary()),
+                 pa.array([kinds] + [[0] * 4] * (len(at) - 1), pa.list_(pa.int64())),
+                 pa.array([int(n.sum())] + [0] * (len(at) - 1), pa.int64())],
                 names=["shard", "block", "kinds", "tokens"])
 
         for batch in batches:
@@ -244,6 +248,7 @@ class Model:
 
     folder: str
     shards: int
+    word_shards: int
     tokens: int
     words: int
     before: int
@@ -258,11 +263,12 @@ def fit(docs: DataFrame) -> Model:
     texts = docs.select(F.coalesce(docs["text"], F.lit("")).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     shards = max(8, math.ceil(size / (6 * SHARD_TOKENS)))
+    word_shards = min(shards, WORD_SHARDS)
     blocks = texts.mapInArrow(_blocks(shards), "shard int, block binary")
     merged = (blocks.repartition(shards, "shard").sortWithinPartitions("shard")
-              .mapInArrow(_merge_pairs(folder, shards),
+              .mapInArrow(_merge_pairs(folder, word_shards),
                           "shard int, block binary, kinds array<bigint>, tokens bigint"))
-    totals = (merged.repartition(shards, "shard").sortWithinPartitions("shard")
+    totals = (merged.repartition(word_shards, "shard").sortWithinPartitions("shard")
               .mapInArrow(_merge_words(folder), "words bigint, before bigint, "
                           "word_kinds array<bigint>, tokens bigint, pair_kinds array<bigint>"))
 
@@ -273,7 +279,7 @@ def fit(docs: DataFrame) -> Model:
         total("tokens"), total("words"), total("before"),
         *(total(F.get("pair_kinds", F.lit(k))) for k in range(4)),
         *(total(F.get("word_kinds", F.lit(k))) for k in range(4))).first()
-    return Model(folder, shards, *found[:3], tuple(found[3:7]), tuple(found[7:]))
+    return Model(folder, shards, word_shards, *found[:3], tuple(found[3:7]), tuple(found[7:]))
 
 
 class Scorer:
@@ -282,32 +288,29 @@ class Scorer:
     def __init__(self, model: Model) -> None:
         self.model = model
         self._pair_cuts, self._word_cuts = discounts(model.pair_kinds), discounts(model.word_kinds)
-        self._files: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] = {}
+        self._shards = Shards(self._read)
         start = np.array([START])
         # every text has one start and one end, and only starts are counted as contexts
         self._ends = int(self._look_up("words", start, _word_shard(
-            start, model.shards))["count"][0])
-
-    def _shard_of(self, name: str, shard: int) -> tuple[np.ndarray, np.ndarray]:
-        if (name, shard) not in self._files:
-            keys = mapped(self.model.folder, f"{name}-{shard}.keys", np.dtype("<u8"))
-            rows = mapped(self.model.folder, f"{name}-{shard}.rows",
-                          WORD if name == "words" else np.dtype("u1"))
-            if name == "pairs" and len(keys):  # counts take as few bytes as their largest needs
-                rows = rows.view(f"<u{len(rows) // len(keys)}")
-            self._files[name, shard] = keys, rows
-        return self._files[name, shard]
+            start, model.word_shards))["count"][0])
+
+    def _read(self, wanted: tuple[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        name, shard = wanted
+        keys = mapped(self.model.folder, f"{name}-{shard}.keys", np.dtype("<u8"))
+        rows = mapped(self.model.folder, f"{name}-{shard}.rows",
+                      WORD if name == "words" else np.dtype("u1"))
+        if name == "pairs" and len(keys):  # counts take as few bytes as their largest needs
+            rows = rows.view(f"<u{len(rows) // len(keys)}")
+        return keys, rows
 
     def _look_up(self, name: str, keys: np.ndarray, homes: np.ndarray) -> np.ndarray:
         """The row of each key; zeros for a key that training did not see."""
         found = np.zeros(len(keys), WORD if name == "words" else "<u8")
         order = np.lexsort((keys, homes))
-        cuts = np.searchsorted(homes[order], np.arange(self.model.shards + 1))
-        for shard in range(self.model.shards):
-            rows = order[cuts[shard]:cuts[shard + 1]]
-            if not len(rows):
-                continue
-            known, values = self._shard_of(name, shard)
+        at = np.flatnonzero(np.diff(homes[order], prepend=-1))
+        for rows in np.split(order, at[1:]) if len(at) else []:
+            shard = int(homes[rows[0]])
+            known, values = self._shards[name, shard]
             if not len(known):
                 continue
             wanted = keys[rows]
@@ -318,11 +321,11 @@ class Scorer:
 
     def log_probabilities(self, tokens: np.ndarray, sizes: np.ndarray):
         """log10 of the model's and of the base probability of each token, and whether known."""
-        model, shards = self.model, self.model.shards
+        model = self.model
         names, where = np.unique(np.append(tokens, START), return_inverse=True)
         w = where[:-1]
         c = _contexts(w, sizes, where[-1])
-        rows = self._look_up("words", names, _word_shard(names, shards))
+        rows = self._look_up("words", names, _word_shard(names, model.word_shards))
         before = rows["before"].astype(np.int64)
         lower = np.full(len(names), 1.0 / (model.words + 1))
         if model.before:
@@ -332,7 +335,7 @@ class Scorer:
                      + left / (model.words + 1)) / model.before
         context, cut = names[c], self._pair_cuts
         n = self._look_up("pairs", _pair_key(context, tokens),
-                          _shard(context, tokens, shards)).astype(np.int64)
+                          _shard(context, tokens, model.shards)).astype(np.int64)
         seen = rows["count"].astype(np.float64)
         spared = cut[1] * rows["n1"] + cut[2] * rows["n2"] + cut[3] * rows["n3"]
         share = np.where(seen > 0, spared / np.maximum(seen, 1), 1.0)

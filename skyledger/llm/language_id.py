@@ -15,8 +15,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LinearSVC
-from pyspark.ml.linalg import Vectors, VectorUDT
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +25,8 @@ from skyledger.llm.common import bucket_of, materialize, slices, texts_of
 ROWS_PER_LANGUAGE = 2_000
 ORDERS = (1, 2, 3)
 BITS = 14
+# Weight of the penalty on a machine's weights, most steps of a fit, and the gain that ends it.
+PENALTY, STEPS, TOLERANCE = 1e-3, 60, 1e-5
 UNKNOWN = "und"
 # Code points handled at once; n-grams of a longer text are added up piece by piece.
 PIECE = 1 << 20
@@ -145,28 +146,107 @@ def training_sample(docs: DataFrame, trains: Column, rows: int = ROWS_PER_LANGUA
     return materialize(found, "languages")
 
 
+def _minimised(value_and_slope, start: np.ndarray, steps: int, memory: int = 10) -> np.ndarray:
+    """A minimum of a smooth convex function, by limited-memory quasi-Newton steps."""
+    at, (value, slope) = start, value_and_slope(start)
+    moves: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        way, shares = slope.copy(), []
+        for move, turn in reversed(moves):
+            share = (move @ way) / (move @ turn)
+            shares.append(share)
+            way -= share * turn
+        if moves:
+            move, turn = moves[-1]
+            way *= (move @ turn) / (turn @ turn)
+        for (move, turn), share in zip(moves, reversed(shares), strict=True):
+            way += (share - (turn @ way) / (move @ turn)) * move
+        fall, length = slope @ way, 1.0 if moves else 1.0 / max(np.linalg.norm(slope), 1e-12)
+        while True:
+            there, (lower, new_slope) = at - length * way, value_and_slope(at - length * way)
+            if lower <= value - 1e-4 * length * fall:
+                break
+            length /= 2
+            if length < 1e-10:
+                return at
+        if new_slope @ (there - at) - slope @ (there - at) > 1e-12:
+            moves = [*moves, (there - at, new_slope - slope)][-memory:]
+        done = value - lower < TOLERANCE * max(abs(value), 1e-12)
+        at, value, slope = there, lower, new_slope
+        if done:
+            break
+    return at
+
+
+def support_vectors(
+    rows: np.ndarray, slots: np.ndarray, shares: np.ndarray, second: np.ndarray,
+) -> tuple[np.ndarray, float]:
+    """Weights and bias of a linear machine: squared hinge loss over scaled features.
+
+    Entry i is the feature slots[i] of text rows[i]; `second` tells which texts are of the
+    second class. Features are divided by their deviation.
+    """
+    texts, size = len(second), 1 << BITS
+    sign = np.where(second, 1.0, -1.0)
+    mean = np.bincount(slots, shares, size) / texts
+    deviation = np.sqrt(np.maximum(np.bincount(slots, shares * shares, size) / texts - mean * mean, 0))
+    scale = np.divide(1.0, deviation, out=np.zeros(size), where=deviation > 0)
+    scaled = shares * scale[slots]
+
+    def value_and_slope(model: np.ndarray) -> tuple[float, np.ndarray]:
+        margins = np.bincount(rows, scaled * model[slots], texts) + model[-1]
+        short = np.maximum(1.0 - sign * margins, 0.0)
+        pull = -2.0 * sign * short / texts
+        slope = np.bincount(slots, scaled * pull[rows], size + 1)
+        slope[:-1] += PENALTY * model[:-1]
+        slope[-1] = pull.sum()
+        return (short @ short) / texts + PENALTY / 2 * (model[:-1] @ model[:-1]), slope
+
+    found = _minimised(value_and_slope, np.zeros(size + 1), STEPS)
+    return found[:-1] * scale, float(found[-1])
+
+
+def _fitted(table: pa.Table) -> pa.Table:
+    """The weights and the bias of one machine, from the texts of its two sides."""
+    slots = table["slots"].combine_chunks()
+    sizes = pa.compute.list_value_length(slots).to_numpy()
+    weights, bias = support_vectors(
+        np.repeat(np.arange(len(sizes)), sizes), slots.flatten().to_numpy(),
+        table["shares"].combine_chunks().flatten().to_numpy(), table["second"].to_numpy())
+    return pa.table({"machine": table["machine"].slice(0, 1),
+                     "weights": pa.array([weights.astype(np.float32)], pa.list_(pa.float32())),
+                     "bias": pa.array([bias], pa.float64())})
+
+
 def learn(sample: DataFrame) -> Model:
-    """The machines between families, and between the languages of each family."""
-    size = 1 << BITS
-    vector = F.udf(lambda slots, shares: Vectors.sparse(size, slots, shares), VectorUDT())
-    rows = sample.select("lang", vector("slots", "shares").alias("features"))
+    """The machines between families, and between the languages of each family.
+
+    All are fitted by one job, each by one task from the texts of its two sides, at most
+    ROWS_PER_LANGUAGE of a language.
+    """
     languages = sorted(row.lang for row in sample.select("lang").distinct().collect())
     families: dict[str, list[str]] = {}
     for lang in languages:
         families.setdefault(family_of(lang), []).append(lang)
-
-    def machine(first: str, firsts: list[str], second: str, seconds: list[str]) -> Machine:
-        both = rows.where(F.col("lang").isin(firsts + seconds)).select(
-            F.col("lang").isin(seconds).cast("double").alias("label"), "features")
-        fitted = LinearSVC(maxIter=25, regParam=1e-3, standardization=True).fit(both.persist())
-        both.unpersist()
-        return Machine(first, second, fitted.coefficients.toArray().astype(np.float32),
-                       float(fitted.intercept))
-
-    between = [machine(a, families[a], b, families[b]) for a, b in combinations(families, 2)]
-    within = {family: [machine(a, [a], b, [b]) for a, b in combinations(langs, 2)]
-              for family, langs in families.items()}
-    return Model(families, between, within)
+    sides = [(a, families[a], b, families[b]) for a, b in combinations(families, 2)]
+    between = len(sides)
+    for langs in families.values():
+        sides += [(a, [a], b, [b]) for a, b in combinations(langs, 2)]
+    parts = [(lang, machine, lang in seconds) for machine, (_, firsts, _, seconds) in enumerate(sides)
+             for lang in (*firsts, *seconds)]
+    wanted = sample.sparkSession.createDataFrame(parts, "lang string, machine int, second boolean")
+    fitted = (sample.join(wanted, "lang").select("machine", "second", "slots", "shares")
+              .groupBy("machine").applyInArrow(
+                  _fitted, "machine int, weights array<float>, bias double")).toArrow()
+    found = {machine: (weights, bias) for machine, weights, bias in zip(
+        fitted["machine"].to_pylist(), fitted["weights"].combine_chunks(),
+        fitted["bias"].to_pylist(), strict=True)}
+    machines = [Machine(first, second, found[i][0].values.to_numpy(), found[i][1])
+                for i, (first, _, second, _) in enumerate(sides)]
+    within: dict[str, list[Machine]] = {family: [] for family in families}
+    for machine in machines[between:]:
+        within[family_of(machine.first)].append(machine)
+    return Model(families, machines[:between], within)
 
 
 def _margins(texts: list[str], machines: list[Machine]) -> tuple[np.ndarray, np.ndarray]:
@@ -245,21 +325,23 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     without a letter, is `und` with score 0, and so is every text if nothing was learnt. An
     empty table gives an empty result. Every n-gram of a text counts, however long it is.
     """
-    machines = model.machines()
+    # 64 KB for each machine: broadcast, so that it is sent to an executor once
+    sent = docs.sparkSession.sparkContext.broadcast(model)
     names = list(model.families)
 
     def label(margins: np.ndarray, lettered: bool) -> tuple[str, float, str | None]:
+        model = sent.value
         if not lettered or not names:
             return UNKNOWN, 0.0, None
         found = {(m.first, m.second): margin + m.bias
-                 for m, margin in zip(machines, margins, strict=True)}
+                 for m, margin in zip(model.machines(), margins, strict=True)}
         family, sure = _winner(names, model.between, found)
         lang, surer = _winner(model.families[family], model.within[family], found)
         return lang, min(max(sure * surer, 0.0), 1.0), family
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            margins, lettered = _margins(texts_of(batch), machines)
+            margins, lettered = _margins(texts_of(batch), sent.value.machines())
             rows = [label(m, known) for m, known in zip(margins, lettered, strict=True)]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"),

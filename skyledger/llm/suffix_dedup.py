@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import free_name, identified, materialize, slices, texts_of
-from skyledger.llm.hashing import BASE, ODD, mapped, mix, word_hashes, write_table
+from skyledger.llm.hashing import BASE, ODD, Shards, mapped, mix, word_hashes, write_table
 from skyledger.session import fresh_folder
 
 LENGTH, K, SPAN = 50, 8, 25
@@ -200,15 +200,12 @@ def _blocks(shards: int):
             keys, places, again = _first_places(keys, places, np.zeros(len(keys), bool))
             home = _home(keys, shards)
             order = np.argsort(home, kind="stable")
-            cuts = np.searchsorted(home[order], np.arange(shards + 1))
-            names, blobs = [], []
-            for shard in range(shards):
-                rows = order[cuts[shard]:cuts[shard + 1]]
-                if len(rows):
-                    names.append(shard)
-                    blobs.append(b"".join([
-                        np.array([len(rows)], "<u8").tobytes(), keys[rows].tobytes(),
-                        places[rows].tobytes(), np.packbits(again[rows]).tobytes()]))
+            at = np.flatnonzero(np.diff(home[order], prepend=-1))
+            names = home[order[at]]
+            blobs = [b"".join([
+                np.array([len(rows)], "<u8").tobytes(), keys[rows].tobytes(),
+                places[rows].tobytes(), np.packbits(again[rows]).tobytes()])
+                for rows in (np.split(order, at[1:]) if len(at) else [])]
             return pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.int32()), pa.array(blobs, pa.binary())],
                 names=["shard", "block"])
@@ -269,23 +266,21 @@ class Table:
 class _Lookup:
     def __init__(self, table: Table) -> None:
         self._table = table
-        self._files: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self._shards = Shards(self._read)
+
+    def _read(self, shard: int) -> tuple[np.ndarray, np.ndarray]:
+        return (mapped(self._table.folder, f"windows-{shard}.keys", np.dtype("<u8")),
+                mapped(self._table.folder, f"windows-{shard}.rows", PLACE))
 
     def first_places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether each window is repeated, and its first place."""
         found, places = np.zeros(len(keys), bool), np.zeros(len(keys), PLACE)
         homes = _home(keys, self._table.shards)
         order = np.lexsort((keys, homes))
-        cuts = np.searchsorted(homes[order], np.arange(self._table.shards + 1))
-        for shard in range(self._table.shards):
-            rows = order[cuts[shard]:cuts[shard + 1]]
-            if not len(rows):
-                continue
-            if shard not in self._files:
-                self._files[shard] = (
-                    mapped(self._table.folder, f"windows-{shard}.keys", np.dtype("<u8")),
-                    mapped(self._table.folder, f"windows-{shard}.rows", PLACE))
-            known, values = self._files[shard]
+        heads = np.flatnonzero(np.diff(homes[order], prepend=-1))
+        for rows in np.split(order, heads[1:]) if len(heads) else []:
+            shard = int(homes[rows[0]])
+            known, values = self._shards[shard]
             if len(known):
                 at = np.minimum(np.searchsorted(known, keys[rows]), len(known) - 1)
                 hit = known[at] == keys[rows]

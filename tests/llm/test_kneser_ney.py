@@ -124,3 +124,25 @@ def test_word_hashes_do_not_depend_on_their_place():
     for word, found in zip(LONG.split(), hashes.tolist(), strict=True):
         assert names.setdefault(word, found) == found
     assert len(set(names.values())) == len(names) == 977 * 13 and starts[0] == 0
+
+
+def test_discounts_by_hand():
+    """Y = n1 / (n1 + 2 n2); D1 = 1 - 2Y n2/n1, D2 = 2 - 3Y n3/n2, D3 = 3 - 4Y n4/n3."""
+    # Y = 4 / 8
+    assert kneser_ney.discounts([4, 2, 1, 1]).tolist() == pytest.approx([0, 0.5, 1.25, 1.0])
+    # Y = 60 / 100
+    assert kneser_ney.discounts([60, 20, 10, 6]).tolist() == pytest.approx([0, 0.6, 1.1, 1.56])
+    # too few n-grams for the estimate, or one that leaves its range
+    assert kneser_ney.discounts([3, 0, 0, 0]).tolist() == pytest.approx([0, 0.5, 0.75, 0.9])
+    assert kneser_ney.discounts([1, 1, 9, 9]).tolist() == pytest.approx([0, 1 / 3, 0.05, 5 / 3])
+
+
+def test_word_shards_do_not_grow_with_the_input(spark, monkeypatch):
+    """More shards of bigrams than of words, and no block for a shard that gets no word."""
+    monkeypatch.setattr(kneser_ney, "SHARD_TOKENS", 20)
+    monkeypatch.setattr(kneser_ney, "WORD_SHARDS", 3)
+    texts = ["a b a c a b", "b a", "c", "", "d e f g h i j k l"] * 20
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    model = kneser_ney.fit(docs)
+    assert (model.shards, model.word_shards) == (8, 3) or model.shards > 8
+    check(kneser_ney.score(docs, model).collect(), Brute(texts), lambda row: texts[row.doc_id])

@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pytest
 from cases import odd_documents
 from skyledger.llm import language_id, queries
 from skyledger.llm.common import bucket_of
@@ -70,3 +71,47 @@ def test_one_family_and_one_language(spark):
 def test_query_covers_every_document(spark, sf_dir):
     found = queries.op7_language_id(spark, sf_dir)
     assert found.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+
+
+def slot(gram):
+    """The feature of an n-gram, one character after the other."""
+    code = len(gram)
+    for char in gram:
+        code = (code ^ ord(char)) * 0x9E3779B97F4A7C15 % (1 << 64)
+        code ^= code >> 29
+    return code >> (64 - language_id.BITS)
+
+
+def naive_prediction(text, model):
+    """Family and language of the most one-versus-one wins, n-gram by n-gram."""
+    plain = "".join(c if c.isalpha() else " " for c in f" {(text or '').lower()} ")
+    if not plain.strip():
+        return "und", 0.0
+    slots = [slot(plain[i:i + n]) for n in (1, 2, 3) for i in range(len(plain) - n + 1)]
+
+    def winner(names, machines):
+        wins = {name: [0, 0.0, name] for name in names}
+        margin = {}
+        for m in machines:
+            own = float(np.mean(m.weights.astype(float)[slots])) + m.bias
+            for name, value in ((m.first, -own), (m.second, own)):
+                wins[name][0] += value > 0
+                wins[name][1] += value
+                margin.setdefault(name, []).append(value)
+        best = max(names, key=lambda name: wins[name])
+        least = min(margin.get(best, [float("inf")]))
+        return best, 1 / (1 + np.exp(-min(max(2 * least, -30), 30))) if machines else 1.0
+
+    family, sure = winner(list(model.families), model.between)
+    lang, surer = winner(model.families[family], model.within[family])
+    return lang, sure * surer
+
+
+def test_predictions_equal_a_count_of_every_ngram(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = language_id.learn(language_id.training_sample(docs, bucket_of("doc_id", 4) != 2))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for row in language_id.predict(docs, model).collect():
+        lang, score = naive_prediction(texts[row.doc_id], model)
+        assert row.lang_pred == lang
+        assert row.score == pytest.approx(score, rel=1e-3, abs=1e-6)

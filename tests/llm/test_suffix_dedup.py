@@ -3,10 +3,12 @@
 import random
 import re
 
+import numpy as np
+import pyarrow.fs as fs
 import xxhash
 from cases import LONG, odd_documents
 from pyspark.sql import functions as F
-from skyledger.llm import queries, suffix_dedup
+from skyledger.llm import hashing, queries, suffix_dedup
 
 SIZE = suffix_dedup.LENGTH
 
@@ -141,3 +143,28 @@ def test_texts_that_share_an_id_repeat_each_other(spark):
         assert sorted((r.start, r.length, r.is_first) for r in found) == [
             (0, 60, False), (0, 60, True)]
         assert windows(found) == brute(rows)
+
+
+def test_shards_off_a_mount_stay_within_a_bound(tmp_path, monkeypatch):
+    """Look-ups through a file system that cannot be mapped, with room for two shards of eight."""
+    draw = np.random.default_rng(3)
+    keys = np.unique(draw.integers(3, 2 ** 63, 4000, dtype=np.uint64))
+    places = np.zeros(len(keys), suffix_dedup.PLACE)
+    places["doc"], places["at"] = np.arange(len(keys)), np.arange(len(keys)) % 7
+    home = suffix_dedup._home(keys, 8)
+    for shard in range(8):
+        hashing.write_table(str(tmp_path), f"windows-{shard}", keys[home == shard],
+                            places[home == shard])
+    table = suffix_dedup.Table(str(tmp_path), 8)
+    wanted = np.concatenate([keys[::3], keys[:50] + np.uint64(1)])
+    mounted = suffix_dedup._Lookup(table).first_places(wanted)
+    away = fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem())
+    monkeypatch.setattr(hashing, "filesystem", lambda folder: (away, ""))
+    shard_bytes = max(28 * int((home == shard).sum()) for shard in range(8))
+    monkeypatch.setattr(hashing, "CACHED_BYTES", 2 * shard_bytes)
+    lookup = suffix_dedup._Lookup(table)
+    for _ in range(2):
+        found = lookup.first_places(wanted)
+        assert (found[0] == mounted[0]).all() and (found[1] == mounted[1]).all()
+        assert len(lookup._shards._known) <= 3 and lookup._shards._held <= 2 * shard_bytes
+    assert found[0].sum() == len(keys[::3])

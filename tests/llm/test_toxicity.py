@@ -91,3 +91,42 @@ def test_held_out_accuracy(spark):
     held = [r for r in found if r.held_out and r.doc_id in toxic]
     assert sum(r.predicted == toxic[r.doc_id] for r in held) >= 0.9 * len(held)
     assert not [r for r in found if r.predicted and toxic.get(r.doc_id) == 0]
+
+
+def naive_measure(lexicon, text):
+    """Weight, matches and words by a search for every entry at every place."""
+    clean, folded = toxicity.fold(text)
+    entries = {e.removesuffix("*"): (w, e.endswith("*")) for e, w in lexicon.weights.items()}
+    entries |= {phrase: (None, False) for phrase in lexicon.exceptions}
+    hits, excused = [], []
+    for plain, (weight, stem) in entries.items():
+        at = folded.find(plain)
+        while at >= 0:
+            end = at + len(plain)
+            if (at == 0 or not clean[at - 1].isalnum()) and (
+                    stem or end == len(clean) or not clean[end].isalnum()):
+                (excused if weight is None else hits).append((at, end, weight))
+            at = folded.find(plain, at + 1)
+    counted = [w for a, b, w in hits if not any(c <= a and b <= d for c, d, _ in excused)]
+    return sum(counted), len(counted), len(clean.split())
+
+
+def test_matches_equal_a_search_for_every_entry(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    learnt = toxicity.learn_lexicon(toxicity.training_sample(
+        docs, labels, "toxic", bucket_of("doc_id", 5) != 0))
+    common = {"the": 0.5, "th*": 0.25, "ion": 1.0, "er*": 2.0, "of the": 1.5}
+    made = toxicity.Lexicon({**learnt.weights, **common}, ["the of", "erthe er"])
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    scored = {r.doc_id: r.score for r in toxicity.score(docs, learnt).collect()}
+    matches = 0
+    for doc, text in texts.items():
+        for lexicon in (learnt, made):
+            weight, count, words = naive_measure(lexicon, text)
+            found = toxicity.Matcher(lexicon).measure(text)
+            assert found == (pytest.approx(weight), count, words)
+            matches += count
+        weight, _, words = naive_measure(learnt, text)
+        assert scored[doc] == pytest.approx(learnt.score(weight, words))
+    assert matches > 500
