@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from skyledger.functions.columns import route_type
 
 HOUR = 3600
-WEEK = 7 * 24 * HOUR
+DAY = 24 * HOUR
+WEEK = 7 * DAY
 
 # Seconds of the first and last moment a calendar time can hold (years 1-9999).
 FIRST_SECOND = -62135596800
@@ -27,15 +28,11 @@ _REQUIRED_TEXT = ["callsign", "estDepartureAirport", "estArrivalAirport"]
 _REQUIRED_TIME = ["firstSeen", "lastSeen"]
 _PLANNED = "scheduledDepartureTime"
 _DISTANCE = "estDepartureAirportHorizDistance"
+_DIVERTED = "diverted"
 
 
-def _as(key: str, kind: str) -> Column:
-    return F.try_variant_get("payload", f"$.{key}", kind)
-
-
-def _kind(key: str) -> Column:
-    """The type of a field's value; null where the key is absent."""
-    return F.schema_of_variant(_as(key, "variant"))
+def _part(key: str, name: str) -> Column:
+    return F.col(f"field.{key}.{name}")
 
 
 def _moment(seconds: Column) -> Column:
@@ -44,9 +41,9 @@ def _moment(seconds: Column) -> Column:
 
 def _seconds(key: str) -> Column:
     """A time in seconds: a number, or a flag as 0 or 1."""
-    kind = _kind(key)
-    return _moment(F.when(kind.rlike(NUMBER), _as(key, "double"))
-                   .when(kind == FLAG, _as(key, "boolean").cast("double")))
+    kind = _part(key, "kind")
+    return _moment(F.when(kind.rlike(NUMBER), _part(key, "number"))
+                   .when(kind == FLAG, _part(key, "flag").cast("double")))
 
 
 def _truthy(key: str) -> Column:
@@ -54,10 +51,10 @@ def _truthy(key: str) -> Column:
 
     A text counts by its length alone, so "false" and "0" are true.
     """
-    kind, text = _kind(key), _as(key, "string")
+    kind, text = _part(key, "kind"), _part(key, "text")
     return F.coalesce(
-        F.when(kind.rlike(NUMBER), _as(key, "double") != 0)
-        .when(kind == FLAG, _as(key, "boolean"))
+        F.when(kind.rlike(NUMBER), _part(key, "number") != 0)
+        .when(kind == FLAG, _part(key, "flag"))
         .when(kind == TEXT, text != "")
         .when(kind != NULL, ~text.isin("[]", "{}")), F.lit(False))
 
@@ -71,21 +68,43 @@ def _computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode_outer(F.array(value)).alias(name))
 
 
+def _fields(json_df: DataFrame, value: str) -> DataFrame:
+    """Add `object`, whether a record is a JSON object, and `field`, its values by key.
+
+    A value has a kind (null where the key is absent), and text, number and flag where
+    it can be read so. Each is taken out of the record once, whatever the rules ask of it.
+    """
+    def found(key: str) -> Column:
+        return F.col(f"found.{key}")
+
+    keys = [*_REQUIRED_TEXT, *_REQUIRED_TIME, _PLANNED, _DISTANCE, _DIVERTED]
+    payload = F.try_parse_json(F.col(value).cast("string"))
+    parsed = _computed_once(json_df, "payload", payload)
+    parsed = _computed_once(parsed, "found", F.struct(
+        F.coalesce(F.schema_of_variant("payload").startswith("OBJECT"), F.lit(False))
+        .alias("object"),
+        *(F.try_variant_get("payload", f"$.{key}", "variant").alias(key) for key in keys)))
+    fields = F.struct(*(F.struct(
+        F.schema_of_variant(found(key)).alias("kind"),
+        F.try_variant_get(found(key), "$", "string").alias("text"),
+        F.try_variant_get(found(key), "$", "double").alias("number"),
+        F.try_variant_get(found(key), "$", "boolean").alias("flag")).alias(key) for key in keys))
+    return _computed_once(parsed, "field", fields).select(
+        *json_df.columns, F.col("found.object").alias("object"), "field")
+
+
 def _parse(json_df: DataFrame, value: str, with_delay: bool) -> DataFrame:
-    """The payload of a record and, in `problem`, why it cannot be used (null when it can)."""
-    parsed = _computed_once(json_df, "payload", F.try_parse_json(F.col(value).cast("string")))
-    problem = F.when(
-        ~F.coalesce(F.schema_of_variant("payload").startswith("OBJECT"), F.lit(False)),
-        "not a JSON object")
+    """The fields of a record and, in `problem`, why it cannot be used (null when it can)."""
+    problem = F.when(~F.col("object"), "not a JSON object")
     for key in _REQUIRED_TEXT:
-        problem = problem.when(_kind(key) != TEXT, f"unusable {key}")
+        problem = problem.when(_part(key, "kind") != TEXT, f"unusable {key}")
     for key in _REQUIRED_TIME:
         problem = problem.when(
-            _kind(key).isNotNull() & _seconds(key).isNull(), f"unusable {key}")
+            _part(key, "kind").isNotNull() & _seconds(key).isNull(), f"unusable {key}")
     if with_delay:
         problem = problem.when(
             _truthy(_PLANNED) & _seconds(_PLANNED).isNull(), f"unusable {_PLANNED}")
-    return parsed.withColumn("problem", problem)
+    return _fields(json_df, value).withColumn("problem", problem)
 
 
 def normalize_flights(
@@ -98,12 +117,12 @@ def normalize_flights(
     """
     parsed = _parse(json_df, value, with_delay)
     # In a usable record a required field that is null was absent.
-    call, origin, dest = (F.coalesce(_as(key, "string"), F.lit("")) for key in _REQUIRED_TEXT)
+    call, origin, dest = (F.coalesce(_part(key, "text"), F.lit("")) for key in _REQUIRED_TEXT)
     seen, landed = (F.coalesce(_seconds(key), F.lit(0.0)) for key in _REQUIRED_TIME)
     call = F.regexp_replace(call, r"(?U)^\s+|\s+$", "")
     left, arrived = F.timestamp_seconds(seen), F.timestamp_seconds(landed)
     delay = F.when(_truthy(_PLANNED), (seen - _seconds(_PLANNED)) / 60).otherwise(0.0)
-    miles = F.when(_kind(_DISTANCE).isNull(), 0.0).otherwise(_as(_DISTANCE, "double"))
+    miles = F.when(_part(_DISTANCE, "kind").isNull(), 0.0).otherwise(_part(_DISTANCE, "number"))
     columns = [
         F.substring(call, 1, 3).alias("UniqueCarrier"),
         origin.alias("Origin"),
@@ -115,7 +134,7 @@ def normalize_flights(
         *([delay.alias("DepDelay")] if with_delay else []),
         miles.alias("Distance"),
         F.date_format(arrived, "HHmm").alias("CRSArrTime"),
-        F.when(_truthy("diverted"), 1).otherwise(0).alias("Diverted"),
+        F.when(_truthy(_DIVERTED), 1).otherwise(0).alias("Diverted"),
         F.lit(0).alias("Cancelled"),
         route_type(origin, dest).alias("RouteType"),
     ]
@@ -142,5 +161,28 @@ def flights_in_window(
 ) -> DataFrame:
     """Payloads first seen inside the range, both ends included."""
     first, last = window_bounds(begin, end, now)
-    seen = F.get_json_object(F.col(value).cast("string"), "$.firstSeen").try_cast("double")
-    return json_df.filter(seen.between(first, last))
+    return json_df.filter(_first_seen(value).between(first, last))
+
+
+def _first_seen(value: str) -> Column:
+    return F.get_json_object(F.col(value).cast("string"), "$.firstSeen").try_cast("double")
+
+
+def land_by_day(json_df: DataFrame, path: str, value: str = "value") -> None:
+    """Append payloads to a folder with a part for each day (UTC) in which they were first seen.
+
+    `seen` keeps the second; a payload without a usable one is in the part of no day. A day
+    with most of the payloads is written by several tasks.
+    """
+    seen = _moment(_first_seen(value))
+    day = F.floor(seen / DAY).cast("int")
+    (json_df.withColumn("seen", seen).withColumn("day", day).hint("rebalance", "day")
+     .write.mode("append").partitionBy("day").parquet(path))
+
+
+def landed_in_window(landed: DataFrame, begin: float, end: float, now: float) -> DataFrame:
+    """`flights_in_window` over payloads landed by day: files of other days are not read."""
+    first, last = window_bounds(begin, end, now)
+    return landed.filter(
+        F.col("day").between(first // DAY, last // DAY) & F.col("seen").between(first, last)
+    ).drop("seen", "day")

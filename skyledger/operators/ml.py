@@ -23,6 +23,7 @@ from skyledger.session import materialize
 log = logging.getLogger(__name__)
 
 # Column names that stored models and their readers share.
+WEIGHT = "class_weight"
 LABEL = "DelayCategory"
 CATEGORICAL = ["UniqueCarrier", "Origin", "Dest", "RouteType"]
 NUMERIC = [
@@ -114,6 +115,19 @@ def oversample(df: DataFrame, label: str = LABEL, seed: int = SEED) -> DataFrame
     return out
 
 
+def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
+    """Add WEIGHT, under which every class that occurs weighs as much as the largest one.
+
+    A rare class costs no copies of its rows. Only one count per class reaches the driver.
+    """
+    sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+    largest = max(sizes.values(), default=0)
+    weight = F.lit(None).cast("double")
+    for value, size in sizes.items():
+        weight = F.when(F.col(label).eqNullSafe(F.lit(value)), F.lit(largest / size)).otherwise(weight)
+    return df.withColumn(WEIGHT, weight)
+
+
 def train_test_split(
     df: DataFrame, weights: tuple[float, float] = SPLIT, seed: int = SEED,
     partition_by: list[str] | None = None,
@@ -146,8 +160,12 @@ def feature_stages(output: str) -> list:
     return [indexers(), encoder, assembler]
 
 
-def build_pipeline(kind: str, params: dict | None = None) -> Pipeline:
-    """`logistic` scales the features by their deviation first; `forest` takes them as they are."""
+def build_pipeline(kind: str, params: dict | None = None, weight: str | None = None) -> Pipeline:
+    """`logistic` scales the features by their deviation first; `forest` takes them as they are.
+
+    `weight` names a column of row weights.
+    """
+    params = {**(params or {}), **({"weightCol": weight} if weight else {})}
     if kind == "logistic":
         scaler = StandardScaler(
             inputCol="raw_features", outputCol="features", withStd=True, withMean=False)
@@ -170,14 +188,22 @@ class Trained:
 
 def train(
     flights: DataFrame, kind: str, params: dict | None = None, seed: int = SEED,
+    balance: str = "copies",
 ) -> Trained:
     """Split first, balance the training part only, fit.
 
-    Balancing after the split keeps copies of one flight out of the test part. The
-    features are written once, by class; the balanced rows are dealt out evenly for the fit.
+    Balancing after the split keeps copies of one flight out of the test part. By `copies`, the
+    features are written once, by class, and the balanced rows are dealt out evenly for the fit; by
+    `weights`, the fit reads the training part as it is, each row with the weight of its class.
     """
+    if balance not in ("copies", "weights"):
+        raise ValueError(f"unknown balance {balance!r}")
     width = int(flights.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     features = preprocess(flights, with_label=True).select(LABEL, *NUMERIC, *CATEGORICAL)
+    if balance == "weights":
+        training, test = train_test_split(features, seed=seed)
+        weighted = materialize(class_weights(training).repartition(width), "weighted")
+        return Trained(build_pipeline(kind, params, WEIGHT).fit(weighted), test)
     training, test = train_test_split(features, seed=seed, partition_by=[LABEL])
     balanced = materialize(oversample(training, seed=seed).repartition(width), "balanced")
     return Trained(build_pipeline(kind, params).fit(balanced), test)

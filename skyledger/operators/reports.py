@@ -60,10 +60,11 @@ def _summed(grain: DataFrame, *keys: str) -> list[Column]:
     return [F.sum(c).alias(c) for c in grain.columns if c not in keys]
 
 
-def carrier_performance(df: DataFrame) -> DataFrame:
+def carrier_grain(df: DataFrame) -> DataFrame:
+    """Sums for each carrier and route."""
     flights = fill_report_numbers(df)
     late = F.col("ARR_DELAY")
-    grain = flights.groupBy("OP_CARRIER", "ORIGIN", "DEST").agg(
+    return flights.groupBy("OP_CARRIER", "ORIGIN", "DEST").agg(
         F.count("*").alias("n"),
         F.sum("ARR_DELAY").alias("arrival"),
         F.sum("DEP_DELAY").alias("departure"),
@@ -77,6 +78,13 @@ def carrier_performance(df: DataFrame) -> DataFrame:
         F.sum(indicator(late > 15)).alias("significant"),
         F.sum(F.col("ACTUAL_ELAPSED_TIME") - F.col("CRS_ELAPSED_TIME")).alias("deviation"),
     )
+
+
+def carrier_performance(df: DataFrame) -> DataFrame:
+    return carrier_report(carrier_grain(df))
+
+
+def carrier_report(grain: DataFrame) -> DataFrame:
     sums = grain.groupBy("OP_CARRIER").agg(
         *_summed(grain, "OP_CARRIER", "ORIGIN", "DEST"),
         F.countDistinct("ORIGIN").alias("unique_origins"),
@@ -129,12 +137,9 @@ def _airport_input(df: DataFrame) -> DataFrame:
     return prune(df, AIRPORT_COLUMNS).na.fill(0, ["DEP_DELAY", "TAXI_OUT", "TAXI_IN", "CANCELLED"])
 
 
-def airport_performance(df: DataFrame) -> DataFrame:
-    """All departure measures of an airport in one pass, busiest airport first.
-
-    An unknown origin is left out, as an equi-join of separate measures would do.
-    """
-    grain = _airport_input(df).filter(F.col("ORIGIN").isNotNull()).groupBy(
+def airport_grain(df: DataFrame) -> DataFrame:
+    """Sums for each airport, carrier and destination; squares are about the mean of the row."""
+    return _airport_input(df).filter(F.col("ORIGIN").isNotNull()).groupBy(
         "ORIGIN", "OP_CARRIER", "DEST").agg(
         F.count("*").alias("n"),
         F.sum("DEP_DELAY").alias("departure"),
@@ -144,6 +149,17 @@ def airport_performance(df: DataFrame) -> DataFrame:
         F.sum("CANCELLED").alias("cancelled"),
         F.max("DEP_DELAY").alias("worst"),
     )
+
+
+def airport_performance(df: DataFrame) -> DataFrame:
+    """All departure measures of an airport in one pass, busiest airport first.
+
+    An unknown origin is left out, as an equi-join of separate measures would do.
+    """
+    return airport_report(airport_grain(df))
+
+
+def airport_report(grain: DataFrame) -> DataFrame:
     # squared distances from a route's own mean, moved to the mean of the airport
     airport = Window.partitionBy("ORIGIN")
     mean_delay = F.sum("departure").over(airport) / F.sum("n").over(airport)
@@ -231,6 +247,16 @@ def delay_severity_analysis(df: DataFrame) -> DataFrame:
         "OP_CARRIER", "DELAY_CATEGORY").agg(F.count("*").alias("flight_count"))
 
 
+def delay_histogram(df: DataFrame) -> DataFrame:
+    """Sums for each arrival delay."""
+    return fill_report_numbers(df).groupBy("ARR_DELAY").agg(
+        F.count("*").alias("n"),
+        F.sum("DEP_DELAY").alias("departure"),
+        F.sum("CANCELLED").alias("cancelled"),
+        F.sum("DIVERTED").alias("diverted"),
+    )
+
+
 def overall_performance_metrics(df: DataFrame) -> DataFrame:
     """One row over all flights.
 
@@ -238,12 +264,10 @@ def overall_performance_metrics(df: DataFrame) -> DataFrame:
     the first delay whose running count reaches 95 % of the flights: exact, and free of the
     one task that would otherwise merge a quantile sketch from every scanned partition.
     """
-    by_delay = fill_report_numbers(df).groupBy("ARR_DELAY").agg(
-        F.count("*").alias("n"),
-        F.sum("DEP_DELAY").alias("departure"),
-        F.sum("CANCELLED").alias("cancelled"),
-        F.sum("DIVERTED").alias("diverted"),
-    )
+    return overall_report(delay_histogram(df))
+
+
+def overall_report(by_delay: DataFrame) -> DataFrame:
     late, rows = F.col("ARR_DELAY"), F.col("n")
     running = with_running_total(
         by_delay, "ARR_DELAY", "n", "upto", {"flights": rows, "minutes": late * rows})

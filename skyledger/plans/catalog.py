@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import columns as rules
 from skyledger.operators import cleaning, graph, landing, ml, reports
+from skyledger.plans import incremental
 from skyledger.plans.timing import REPORT_INPUT, report_row_counts
 from skyledger.session import application_folder, fresh_folder, materialize
 from skyledger.sources import files, kafka, sinks, star
@@ -18,7 +19,7 @@ from skyledger.sources.schemas import RAW_COLUMNS, STREAM_SCHEMA, TRAIN_SCHEMA
 from skyledger.streaming import scorer
 
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
+QUERIES: dict[str, Query] = dict(incremental.QUERIES)
 
 KEYS = ["ok", "pk", "sk", "ln"]
 STREAM_COLUMNS = STREAM_SCHEMA.fieldNames()

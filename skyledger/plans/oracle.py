@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from skyledger.functions.columns import CLASS_TEXT
+from skyledger.plans import incremental
 
 CATEGORICAL = ["UniqueCarrier", "Origin", "Dest", "RouteType"]
 NUMERIC = [
@@ -546,4 +547,5 @@ FROM classes"""),
   {", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in NUMERIC)},
   {", ".join(f"CAST({c}Index AS BIGINT) AS {c}VecSlot" for c in CATEGORICAL)}
 FROM indexed""")
+    out |= incremental.oracle_sql(PAYLOADS, landed, out)
     return out

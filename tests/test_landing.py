@@ -1,10 +1,13 @@
 import json
+import pathlib
 
 import pytest
 
 from skyledger.operators.landing import (
-    HOUR, WEEK, flights_in_window, normalize_flights, window_bounds,
+    HOUR, WEEK, flights_in_window, land_by_day, landed_in_window, normalize_flights,
+    window_bounds,
 )
+from skyledger.session import fresh_folder
 
 BASE = {
     "callsign": " ABC123 ", "estDepartureAirport": "EGLL", "estArrivalAirport": "EGKK",
@@ -116,3 +119,27 @@ def test_window_includes_both_ends(spark):
         "value string")
     found = flights_in_window(df, 100, 200, 1000).collect()
     assert [json.loads(r.value)["firstSeen"] for r in found] == [100, 150, 200]
+
+
+def test_only_days_of_the_window_are_read(spark):
+    days = [1704067200 + i * 86400 for i in range(6)]
+    df = spark.createDataFrame(
+        [(json.dumps({"firstSeen": t + s}),) for t in days for s in (0, 3600, 86399)]
+        + [("{}",), ("x",), (json.dumps({"firstSeen": "soon"}),)], "value string")
+    path = fresh_folder(spark, "landed")
+    land_by_day(df, path)
+    begin, end = days[2] + 100, days[3] + 3600
+    expected = sorted(r.value for r in flights_in_window(df, begin, end, end).collect())
+    landed = spark.read.parquet(path)
+    for file in landed.inputFiles():  # files of other days cannot be read any more
+        name = file.removeprefix("file://")
+        day = name.split("day=")[1].split("/")[0]
+        if day not in (str(days[2] // 86400), str(days[3] // 86400)):
+            with open(name, "wb") as out:
+                out.write(b"broken")
+            crc = pathlib.Path(name).with_name(f".{pathlib.Path(name).name}.crc")
+            crc.unlink(missing_ok=True)
+    schema = "value string, seen double, day int"
+    found = landed_in_window(spark.read.schema(schema).parquet(path), begin, end, end)
+    assert found.columns == ["value"]
+    assert sorted(r.value for r in found.collect()) == expected and len(expected) == 4

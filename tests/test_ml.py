@@ -206,3 +206,31 @@ def test_confusion_matrix_adds_up(forest):
 def test_schema_is_the_training_schema(flights):
     assert flights.columns == TRAIN_SCHEMA.fieldNames()
     assert [f.dataType for f in flights.schema] == [f.dataType for f in TRAIN_SCHEMA]
+
+
+def test_class_weights_balance_without_copies(spark):
+    rows = [(0,)] * 6 + [(1,)] * 3 + [(3,)]
+    df = spark.createDataFrame(rows, f"{ml.LABEL} int")
+    found = ml.class_weights(df)
+    assert found.count() == 10
+    sums = {r[ml.LABEL]: r["w"] for r in found.groupBy(ml.LABEL).agg(
+        F.sum(ml.WEIGHT).alias("w")).collect()}
+    assert sums == pytest.approx({0: 6.0, 1: 6.0, 3: 6.0})
+    assert ml.class_weights(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["logistic", "forest"])
+def test_training_by_weights(spark, sf_dir, kind):
+    flights = train_flights(spark, sf_dir)
+    params = {"maxIter": 3} if kind == "logistic" else {"numTrees": 2, "maxDepth": 2}
+    run = ml.train(flights, kind, params, balance="weights")
+    assert run.model.stages[-1].getOrDefault("weightCol") == ml.WEIGHT
+    scored = run.model.transform(run.test)
+    assert scored.count() == run.test.count() > 0
+    # without balance a weak model would give the largest class only
+    assert scored.select("prediction").distinct().count() > 1
+
+
+def test_unknown_balance(spark, sf_dir):
+    with pytest.raises(ValueError, match="unknown balance"):
+        ml.train(train_flights(spark, sf_dir), "forest", balance="magic")

@@ -2,6 +2,7 @@ import logging
 
 import pytest
 from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 
 from skyledger.session import fresh_folder
 from skyledger.sources import files, kafka, sinks
@@ -173,3 +174,24 @@ def test_kafka_options():
 def test_json_keeps_null_fields(spark):
     df = spark.createDataFrame([("a", None)], "x string, y double")
     assert kafka.to_kafka_json(df).first().value == '{"x":"a","y":null}'
+
+
+def test_a_failed_replacement_leaves_the_old_report(spark):
+    folder = fresh_folder(spark, "report")
+    with pytest.raises(FileNotFoundError):
+        sinks.read_report(spark, folder)
+    rows = spark.range(100).repartition(4)
+    sinks.replace_report(rows.where("id < 10"), folder)
+    bad = rows.withColumn("id", F.when(F.col("id") == 99, F.raise_error(F.lit("broken"))).otherwise(
+        F.col("id")))
+    with pytest.raises(Exception, match="broken"):
+        sinks.replace_report(bad, folder)
+    assert sinks.read_report(spark, folder).count() == 10
+    reader = sinks.read_report(spark, folder)
+    sinks.replace_report(rows.where("id < 20"), folder)
+    assert reader.count() == 10  # the version before stays for readers that have begun
+    assert sinks.read_report(spark, folder).count() == 20
+    for size in (30, 40):
+        sinks.replace_report(rows.where(f"id < {size}"), folder)
+    assert sinks.read_report(spark, folder).count() == 40
+    assert sorted(sinks._versions(spark, folder).values()) == [True, True]
