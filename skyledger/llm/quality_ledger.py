@@ -232,7 +232,8 @@ def _sql(result: str) -> str:
 ORACLE_SQL = _sql(f"""SELECT *, fail_bits & {mask_of(BASE)} <> 0 AS base_failed,
   fail_bits & {mask_of(POLICIES[CURRENT])} = 0 AS kept, {_VERDICTS},
   CASE fail_bits & {mask_of(POLICIES[CURRENT])} {_ONLY} END AS only_rule FROM f""")
-ABLATIONS_SQL = _sql(f"""SELECT policy, "rule", count_if(fail_bits & mask = 0) AS kept,
-  count_if(fail_bits & bit <> 0) AS failed, count_if(fail_bits & mask = bit) AS "only"
+ABLATIONS_SQL = _sql(f"""SELECT policy, "rule", CAST(count_if(fail_bits & mask = 0) AS BIGINT) AS kept,
+  CAST(count_if(fail_bits & bit <> 0) AS BIGINT) AS failed,
+  CAST(count_if(fail_bits & mask = bit) AS BIGINT) AS "only"
 FROM f, (VALUES {_CASES}) AS c(policy, mask, "rule", bit) GROUP BY policy, "rule"
 """)
