@@ -78,7 +78,7 @@ def _weighted_edges(edges: DataFrame) -> DataFrame:
 
 
 def pagerank(
-    edges: DataFrame, reset: float = 0.15, iters: int = 10, cut_every: int = 5,
+    edges: DataFrame, reset: float = 0.15, iters: int = 10, cut_every: int = 10,
 ) -> DataFrame:
     """Rank of every airport (`id`, `pagerank`) after a fixed number of rounds.
 
@@ -89,7 +89,9 @@ def pagerank(
     The merged edges are a written table, so Catalyst knows their size: a small network is
     broadcast once for all rounds, a large one is joined by shuffle, where AQE splits a
     source with very many edges. Ranks are written out every `cut_every` rounds, so the
-    lineage stays short and a lost executor costs at most that many rounds.
+    lineage stays short and a lost executor costs at most that many rounds. The edges are shuffled
+    once for all rounds in between: ranks come out of a round partitioned by airport, as the next
+    one needs them, and every round reads the same exchange of the edges.
     """
     flows = materialize(_weighted_edges(edges), "edges")
     ranks = flows.filter(F.col("share") == 0).select(

@@ -1,6 +1,7 @@
 import pytest
 
 from skyledger.operators import graph
+from skyledger.operators.cleaning import clean_flights
 from skyledger.sources.star import raw_flights
 
 EDGES = [(1, 2), (1, 2), (1, 3), (2, 3), (3, 1), (3, 4), (4, 5), (2, 5), (2, 5), (2, 5), (6, 1)]
@@ -76,3 +77,30 @@ def test_counts_of_an_empty_graph(spark):
     empty = spark.createDataFrame([], "ORIGIN string, DEST string")
     assert {r.part: r.total for r in graph.graph_counts(empty).collect()} == {
         "vertices": 0, "edges": 0}
+
+
+def test_edges_are_shuffled_once(spark, sf_dir, monkeypatch):
+    """One exchange of the edges and one of the first ranks, whatever the number of rounds."""
+    plans, write = [], graph.materialize
+
+    def watched(df, name, *rest):
+        if name == "ranks":
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name, *rest)
+
+    edges = graph.flight_edges(clean_flights(raw_flights(spark, sf_dir)))
+    expected = {r.id: r.pagerank for r in graph.pagerank(edges).collect()}
+    monkeypatch.setattr(graph, "materialize", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = {r.id: r.pagerank for r in graph.pagerank(edges).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == pytest.approx(expected)
+    final = plans[0].split("== Initial")[0].splitlines()
+    by_source = [line for line in final if "Exchange hashpartitioning(src" in line]
+    assert len(plans) == 1
+    assert sum("ReusedExchange" not in line for line in by_source) == 2
+    assert sum("ReusedExchange" in line for line in by_source) == 8
+
