@@ -356,7 +356,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     `docs` has doc_id and text; other columns are not read, whatever their names. One row for
     each input row, repeats included. A null or empty text is its end alone, one token. A word
     that training did not see has the probability that discounting left over, shared equally. A
-    model of no texts gives every token probability 1. An empty table gives an empty result.
+    model of no texts gives every token probability 1. A very long text is scored whole, as one piece of
+    a batch. An empty table gives an empty result.
     """
     def scored(scorer: Scorer, parts: list) -> pa.RecordBatch:
         ids = [doc for found, _, _ in parts for doc in found]

@@ -194,7 +194,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     `docs` has doc_id and text; other columns are not read, whatever their names. One row for
     each input row, repeats included. Words are cut at ASCII white space after A-Z are lower-
     cased. A null or empty text has fingerprint zero and links like any other. component_id is
-    the smallest doc_id of the class, null if it has none. An empty table gives an empty result.
+    the smallest doc_id of the class, null if it has none. A very long text is fingerprinted whole, in
+    memory in proportion to its length. An empty table gives an empty result.
     """
     rows = classes(docs, shingle)
     # written, so that the join deals its rows out anew and can split those of a large class

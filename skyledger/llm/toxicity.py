@@ -309,7 +309,7 @@ def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
 
     `docs` has doc_id and text; other columns are not read, whatever their names. One row
     for each input row, repeats included. A null or empty text has no hits and gets the score
-    of no hits; an empty table gives an empty result.
+    of no hits; a very long text is matched whole, in one pass; an empty table gives an empty result.
     """
     matcher = Matcher(lexicon)
 
