@@ -234,3 +234,37 @@ def test_training_by_weights(spark, sf_dir, kind):
 def test_unknown_balance(spark, sf_dir):
     with pytest.raises(ValueError, match="unknown balance"):
         ml.train(train_flights(spark, sf_dir), "forest", balance="magic")
+
+
+def test_slots_as_numbers_give_the_same_forest(spark):
+    """20,000 rows, so thresholds are sought in a part of them; one category is rare."""
+    rows = spark.range(20_000).select(
+        (F.col("id") * 7 % 11 % 4).cast("int").alias(ml.LABEL),
+        *(((F.col("id") * (3 + i)) % (5 + i)).cast("int").alias(c) for i, c in enumerate(ml.NUMERIC)),
+        F.concat(F.lit("A"), F.col("id") % 11).alias("UniqueCarrier"),
+        F.when(F.col("id") == 77, "rare").otherwise(F.concat(F.lit("B"), F.col("id") % 5)).alias("Origin"),
+        F.concat(F.lit("C"), F.col("id") % 7).alias("Dest"), F.lit("same").alias("RouteType"))
+    rows = rows.repartition(3, "Month").sortWithinPartitions(*rows.columns).localCheckpoint()
+    pipeline = ml.build_pipeline("forest", {"numTrees": 5, "maxDepth": 6})
+    fast, plain = ml.fit(pipeline, rows), pipeline.fit(rows)
+    a, b = fast.stages[-1], plain.stages[-1]
+    assert a.totalNumNodes == b.totalNumNodes > 50
+    assert a.featureImportances == b.featureImportances
+    assert [r[0] for r in fast.transform(rows).select("probability").collect()] == [
+        r[0] for r in plain.transform(rows).select("probability").collect()]
+
+
+def test_only_slots_that_the_drawn_rows_show_become_numbers(spark):
+    rows = spark.range(20_000).select(
+        *(F.lit(1).alias(c) for c in ml.NUMERIC),
+        F.when(F.col("id") < 30, "rare").otherwise(F.concat(F.lit("A"), F.col("id") % 3))
+        .alias("UniqueCarrier"),
+        F.when(F.col("id") < 30, "few").otherwise("most").alias("Origin"),
+        F.lit("x").alias("Dest"), F.lit("y").alias("RouteType"))
+    vectors = ml.Pipeline(stages=ml.feature_stages("features")).fit(rows).transform(rows)
+    groups = ml.numeric_slots(vectors).schema["features"].metadata["ml_attr"]["attrs"]
+    assert [slot["name"] for slot in groups["binary"]] == [
+        "UniqueCarrierVec_rare", "OriginVec_most", "OriginVec_few"]
+    assert len(groups["numeric"]) == vectors.first().features.size - 3
+    few = vectors.where(vectors["Origin"] == "few")  # all rows are looked at
+    assert "binary" not in ml.numeric_slots(few).schema["features"].metadata["ml_attr"]["attrs"]
