@@ -39,14 +39,22 @@ def _moment(seconds: Column) -> Column:
     return F.when(seconds.between(FIRST_SECOND, LAST_SECOND), seconds)
 
 
-def _seconds(key: str) -> Column:
+def _time(key: str) -> Column:
     """A time in seconds: a number, or a flag as 0 or 1."""
     kind = _part(key, "kind")
-    return _moment(F.when(kind.rlike(NUMBER), _part(key, "number"))
-                   .when(kind == FLAG, _part(key, "flag").cast("double")))
+    return F.when(kind.rlike(NUMBER), _part(key, "number")).when(
+        kind == FLAG, _part(key, "flag").cast("double"))
+
+
+def _seconds(key: str) -> Column:
+    return _moment(F.col(f"told.{key}"))
 
 
 def _truthy(key: str) -> Column:
+    return F.col(f"told.{key}_true")
+
+
+def _counts_as_true(key: str) -> Column:
     """Whether a value counts as true: any but null, zero, false and what is empty.
 
     A text counts by its length alone, so "false" and "0" are true.
@@ -71,8 +79,10 @@ def _computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
 def _fields(json_df: DataFrame, value: str) -> DataFrame:
     """Add `object`, whether a record is a JSON object, and `field`, its values by key.
 
-    A value has a kind (null where the key is absent), and text, number and flag where
-    it can be read so. Each is taken out of the record once, whatever the rules ask of it.
+    A value has a kind (null where the key is absent), and of text, number and flag what its kind
+    calls for; a distance is a number of any kind that can be read so. Each is taken out of the record
+    once, whatever the rules ask of it. Reading a value as what it is not is left out, since a
+    text that is tried as a number costs more than all else here.
     """
     def found(key: str) -> Column:
         return F.col(f"found.{key}")
@@ -84,17 +94,34 @@ def _fields(json_df: DataFrame, value: str) -> DataFrame:
         F.coalesce(F.schema_of_variant("payload").startswith("OBJECT"), F.lit(False))
         .alias("object"),
         *(F.try_variant_get("payload", f"$.{key}", "variant").alias(key) for key in keys)))
-    fields = F.struct(*(F.struct(
-        F.schema_of_variant(found(key)).alias("kind"),
-        F.try_variant_get(found(key), "$", "string").alias("text"),
-        F.try_variant_get(found(key), "$", "double").alias("number"),
-        F.try_variant_get(found(key), "$", "boolean").alias("flag")).alias(key) for key in keys))
+    parsed = _computed_once(parsed, "kinds", F.struct(
+        *(F.schema_of_variant(found(key)).alias(key) for key in keys)))
+
+    def field(key: str) -> Column:
+        kind, number = F.col(f"kinds.{key}"), F.try_variant_get(found(key), "$", "double")
+        numeric, flag = kind.rlike(NUMBER), kind == FLAG
+        return F.struct(
+            kind.alias("kind"),
+            F.when(~numeric & ~flag & (kind != NULL), F.try_variant_get(found(key), "$", "string"))
+            .alias("text"),
+            (number if key == _DISTANCE else F.when(numeric, number)).alias("number"),
+            F.when(flag, F.try_variant_get(found(key), "$", "boolean")).alias("flag"))
+
+    fields = F.struct(*(field(key).alias(key) for key in keys))
     return _computed_once(parsed, "field", fields).select(
         *json_df.columns, F.col("found.object").alias("object"), "field")
 
 
-def _parse(json_df: DataFrame, value: str, with_delay: bool) -> DataFrame:
-    """The fields of a record and, in `problem`, why it cannot be used (null when it can)."""
+def judged(json_df: DataFrame, with_delay: bool = True, value: str = "value") -> DataFrame:
+    """The fields of a record and, in `problem`, why it cannot be used (null when it can).
+
+    What the rules ask for more than once is worked out in steps, each small enough for the JVM to
+    compile; generated code in one large piece would be interpreted. While this table is
+    persisted, `normalize_flights` of the same records reads it and parses none again.
+    """
+    parsed = _computed_once(_fields(json_df, value), "told", F.struct(
+        *(_time(key).alias(key) for key in [*_REQUIRED_TIME, _PLANNED]),
+        *(_counts_as_true(key).alias(f"{key}_true") for key in (_PLANNED, _DIVERTED))))
     problem = F.when(~F.col("object"), "not a JSON object")
     for key in _REQUIRED_TEXT:
         problem = problem.when(_part(key, "kind") != TEXT, f"unusable {key}")
@@ -104,7 +131,7 @@ def _parse(json_df: DataFrame, value: str, with_delay: bool) -> DataFrame:
     if with_delay:
         problem = problem.when(
             _truthy(_PLANNED) & _seconds(_PLANNED).isNull(), f"unusable {_PLANNED}")
-    return _fields(json_df, value).withColumn("problem", problem)
+    return _computed_once(parsed, "problem", problem)
 
 
 def normalize_flights(
@@ -115,7 +142,7 @@ def normalize_flights(
     Times are shown in the session zone. `with_delay` adds the departure delay in minutes,
     0 where no departure was scheduled.
     """
-    parsed = _parse(json_df, value, with_delay)
+    parsed = judged(json_df, with_delay, value)
     # In a usable record a required field that is null was absent.
     call, origin, dest = (F.coalesce(_part(key, "text"), F.lit("")) for key in _REQUIRED_TEXT)
     seen, landed = (F.coalesce(_seconds(key), F.lit(0.0)) for key in _REQUIRED_TIME)

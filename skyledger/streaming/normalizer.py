@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from skyledger.operators.landing import normalize_flights
+from skyledger.operators.landing import judged, normalize_flights
 
 FLIGHTS, REJECTED = "flights", "rejected"
 
@@ -23,9 +23,10 @@ def normalized_sink(
 ) -> DataStreamWriter:
     """Writer of both tables below `folder`; rejects keep all columns of the stream."""
     def store(batch: DataFrame, number: int) -> None:
-        kept = batch.persist()  # the source is read once for both tables
+        # the source is read, and a payload parsed, once for both tables
+        kept = judged(batch, with_delay).persist()
         try:
-            for name, rows in zip((FLIGHTS, REJECTED), normalize_flights(kept, with_delay),
+            for name, rows in zip((FLIGHTS, REJECTED), normalize_flights(batch, with_delay),
                                   strict=True):
                 rows.write.mode("overwrite").parquet(f"{folder}/{name}/batch={number}")
         finally:

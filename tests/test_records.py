@@ -162,3 +162,22 @@ def test_progress_tells_of_every_row(spark):
     finally:
         spark.streams.removeListener(log)
     assert [b.rows_in for b in log.batches] == [12, 12, 12, 4]
+
+
+def test_both_outputs_share_one_parse(spark, monkeypatch):
+    path, folder = fresh_folder(spark, "log"), fresh_folder(spark, "normalized")
+    publish(payloads(spark), path)
+    whole, plans = normalizer.normalize_flights, []
+
+    def watched(batch, with_delay):
+        tables = whole(batch, with_delay)
+        plans.extend(rows._jdf.queryExecution().withCachedData().toString() for rows in tables)
+        return tables
+
+    monkeypatch.setattr(normalizer, "normalize_flights", watched)
+    normalizer.drain(normalizer.normalized_sink(
+        records.record_stream(spark, path, "earliest"), folder, fresh_folder(spark, "checkpoint")))
+    assert len(plans) == 2
+    for plan in plans:
+        above, cached = plan.split("InMemoryRelation", 1)
+        assert "Generate" not in above
