@@ -133,6 +133,17 @@ def test_scoring_a_literal_sample(spark, forest):
     assert all(r.DelayDescription == CLASS_TEXT[int(r.prediction)] for r in rows)
 
 
+def test_rows_of_one_task_are_scored_by_all(spark, flights, forest):
+    alone = flights.coalesce(1)
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plain = forest.model.transform(ml.preprocess(alone))
+    for scored in (ml.score(alone, forest.model), ml.class_probabilities(alone, forest.model)):
+        tasks = scored.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert len(tasks) == width and sum(r["count"] for r in tasks) == flights.count()
+        names = [c for c in scored.columns if c in plain.columns and c != "probability"]
+        assert scored.select(names).exceptAll(plain.select(names)).count() == 0
+
+
 def test_train_settings(logistic, forest):
     model = logistic.model.stages[-1]
     assert model.numClasses == 4
