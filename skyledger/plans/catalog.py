@@ -402,8 +402,14 @@ def _run(spark: SparkSession, sf: str, kind: str) -> ml.Trained:
     return stored
 
 
+def _scored_test(run: ml.Trained) -> DataFrame:
+    """True and predicted class of the test part, written, so that it is scored once."""
+    scored = run.model.transform(ml.spread(run.test, run.model))
+    return materialize(scored.select(ml.LABEL, "prediction"), "scored")
+
+
 def _test_metrics(run: ml.Trained) -> DataFrame:
-    return ml.classification_metrics(run.model.transform(run.test))
+    return ml.classification_metrics(_scored_test(run))
 
 
 def _fit_summary(spark: SparkSession, sf: str, kind: str) -> DataFrame:
@@ -413,7 +419,7 @@ def _fit_summary(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     points; accuracy_as_counted and f1_as_counted: the metrics follow from the confusion counts.
     """
     run = _run(spark, sf, kind)
-    scored = run.model.transform(run.test)
+    scored = _scored_test(run)
     cells = ml.confusion_matrix(scored).withColumnsRenamed({ml.LABEL: "t", "prediction": "p"})
     n, label = F.col("count"), Window.partitionBy("t")
     sides = cells.select(

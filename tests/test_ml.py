@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.columns import CLASS_TEXT
 from skyledger.operators import ml
+from skyledger.plans import catalog
 from skyledger.session import fresh_folder
 from skyledger.sources.files import literal_flights
 from skyledger.sources.schemas import TRAIN_SCHEMA
@@ -207,6 +208,14 @@ def test_metadata(spark, forest, logistic):
     assert ml.model_metadata(logistic.model, metrics).first().model_params is None
 
 
+def test_the_test_part_is_scored_once(spark, forest):
+    scored = catalog._scored_test(forest)
+    assert scored.inputFiles() and scored.columns == [ml.LABEL, "prediction"]
+    plain = forest.model.transform(forest.test).select(*scored.columns)
+    assert scored.exceptAll(plain).count() == plain.exceptAll(scored).count() == 0
+    assert "UDF" not in scored._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_confusion_matrix_adds_up(forest):
     scored = forest.model.transform(forest.test)
     matrix = ml.confusion_matrix(scored).collect()
