@@ -1,6 +1,10 @@
 """Near copies: texts that share at least 0.8 of their five-word shingles.
 
-The pairs are exact. In any one order of all shingles, two sets of similarity 0.8 share one of
+Texts whose SimHash fingerprints link (see `simhash`: six tables, bit-sliced comparison, two bits
+at most) are paired first and their sets checked. Pairs of similarity 0.8 may differ in more bits
+than any radius allows, so those that are not in one class yet are then found by their shingles.
+
+These pairs are exact. In any one order of all shingles, two sets of similarity 0.8 share one of
 their first n / 5 + 1, so texts meet under those. Shingles that are frequent in a sample come
 last in the order, which keeps groups small and may be any set. Texts with equal sets are
 one. Pairs of a group whose sizes differ too much, or whose parity bitmaps differ in more bits
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 from skyledger.llm.common import identified, materialize, slices, texts_of
 from skyledger.llm.components import components
 from skyledger.llm.hashing import BASE, mix
-from skyledger.llm.simhash import first_of_classes
+from skyledger.llm.simhash import first_of_classes, links, majority, set_bits
 from skyledger.llm.suffix_dedup import Runs, word_keys
 
 SHINGLE = 5
@@ -52,6 +56,11 @@ def shingles(text: str) -> np.ndarray:
     return np.unique(Runs(words).hashes(np.arange(len(words) - size + 1), size))
 
 
+def fingerprint(found: np.ndarray) -> int:
+    """The SimHash of a set of shingles, as a signed number; 0 without any."""
+    return int(np.uint64(majority(set_bits(found), len(found))).view(np.int64))
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two sets share 0.8 of their union or more."""
     shared = len(np.intersect1d(a, b, assume_unique=True))
@@ -117,12 +126,13 @@ def _frequent(texts: DataFrame) -> np.ndarray:
 def _sets(frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            names, sizes, bits, fine, first = [], [], [], [], []
+            names, sizes, fps, bits, fine, first = [], [], [], [], [], []
             for text in texts_of(batch):
                 found = shingles(text)
                 names.append(int(mix(mix(found + np.uint64(BASE)).sum(keepdims=True)
                                      + np.uint64(len(found)))[0]))
                 sizes.append(len(found))
+                fps.append(fingerprint(found))
                 finest = parity(found, fine_size(len(found)))
                 bits.append(_folded(finest, BITS).tobytes())
                 fine.append(finest.tobytes())
@@ -132,7 +142,8 @@ def _sets(frequent: np.ndarray):
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"),
                 "name": pa.array(np.array(names, np.uint64).view(np.int64)),
-                "n": pa.array(sizes, pa.int32()), "bits": pa.array(bits, pa.binary()),
+                "n": pa.array(sizes, pa.int32()), "fp": pa.array(fps, pa.int64()),
+                "bits": pa.array(bits, pa.binary()),
                 "fine": pa.array(fine, pa.binary()),
                 "first": pa.array(first, pa.list_(pa.int64()))})
     return run
@@ -286,14 +297,26 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, sketches: DataFrame) -> DataFr
         materialize(left.mapInArrow(run, "a bigint, b bigint"), "confirmed"))
 
 
+def _linked(sketches: DataFrame) -> DataFrame:
+    """Pairs of texts whose fingerprints are equal or link: each fingerprint has one of its texts for it."""
+    owners = materialize(sketches.groupBy("fp").agg(F.min("name").alias("owner")), "owners")
+    equal = sketches.join(owners, "fp").where(F.col("name") != F.col("owner")).select(
+        F.col("owner").alias("a"), F.col("name").alias("b"))
+    pairs = links(owners.select("fp"))
+    for end in ("a", "b"):
+        pairs = pairs.join(owners.select(F.col("fp").alias(end), F.col("owner").alias(f"own_{end}")), end)
+    near = pairs.select(F.least("own_a", "own_b").alias("a"), F.greatest("own_a", "own_b").alias("b"))
+    return materialize(equal.unionAll(near).distinct(), "linked")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, text_key and root of every row; rows of one class have the same root."""
     docs = identified(docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"]))
     rows = materialize(docs.mapInArrow(
         _sets(_frequent(docs)), "doc_id bigint, text_key bigint, name bigint, n int, "
-        "bits binary, fine binary, first array<bigint>"), "shingle-sets")
+        "fp bigint, bits binary, fine binary, first array<bigint>"), "shingle-sets")
     sketches = materialize(rows.groupBy("name").agg(
-        F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("fine").alias("fine"),
+        F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bits").alias("bits"), F.first("fine").alias("fine"),
         F.min(F.struct("doc_id", "text_key")).alias("k")), "sketches")
     # one shingle more than is needed for a group, for those that are split
     needed = F.slice("first", 1, F.greatest(F.least(F.col("n"), F.floor(F.col("n") / 5) + 1), F.lit(1)))
@@ -305,9 +328,9 @@ def classes(docs: DataFrame) -> DataFrame:
         F.count("*").alias("texts"), F.min("name").alias("centre")).where(
             F.col("texts") > LARGE).select("g", "centre"), "large-groups")
 
-    def pairs(of: DataFrame, stars: bool) -> DataFrame:
+    def pairs(of: DataFrame, known: DataFrame, stars: bool) -> DataFrame:
         # rows of a group come one after the other, so a task holds one group at a time
-        rows = of.join(sketches.select("name", "n", "bits"), "name").select(
+        rows = of.join(known, "name").select(
             "g", "name", F.col("n").cast("bigint").alias("n"), "bits", "root")
         found = rows.repartition("g").sortWithinPartitions("g", "name").mapInArrow(
             _pairs(stars), "a bigint, b bigint").select(
@@ -322,10 +345,15 @@ def classes(docs: DataFrame) -> DataFrame:
         several = groups.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         return groups.join(several.where("low <> high").select("g"), "g")
 
-    small = members.join(large, "g", "left_anti").withColumn("root", F.col("name"))
+    linked = _confirmed(_linked(sketches), docs, sketches)
+    small = members.join(large, "g", "left_anti")
+    sizes = sketches.select("name", "n", "bits")
+    rooted = sizes.join(roots(linked), "name", "left").withColumn(
+        "root", F.coalesce("root", "name"))
     spokes = members.join(large, "g").where(F.col("name") != F.col("centre")).select(
         F.col("centre").alias("a"), F.col("name").alias("b")).distinct()
-    edges = _confirmed(pairs(small, True).unionAll(spokes), docs, sketches)
+    edges = linked.unionAll(
+        _confirmed(pairs(small, rooted, True).unionAll(spokes), docs, sketches))
     known = mixed(materialize(members.join(roots(edges), "name", "left").select(
         "g", "shingle", "name", F.coalesce("root", "name").alias("root")), "known"))
     split = known.join(large, "g").join(
@@ -334,7 +362,7 @@ def classes(docs: DataFrame) -> DataFrame:
                 F.xxhash64("g", "second").alias("g"), "name", "root").distinct()
     left = known.join(large, "g", "left_anti").select("g", "name", "root").unionAll(
         mixed(materialize(split, "split-groups")).select("g", "name", "root"))
-    others = _confirmed(pairs(left, False), docs, sketches)
+    others = _confirmed(pairs(left, sizes, False), docs, sketches)
     return rows.select("doc_id", "text_key", "name").join(
         roots(edges.unionAll(others)), "name", "left").select(
             "doc_id", "text_key", F.coalesce("root", "name").alias("root"))

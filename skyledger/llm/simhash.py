@@ -36,6 +36,21 @@ PACKED = 256
 UNPACKED = 1 << 16
 
 
+def set_bits(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each of the 64 bits, the lowest first."""
+    counts = np.zeros(64, np.int64)
+    for first in range(0, len(hashes), UNPACKED):
+        part = hashes[first:first + UNPACKED].astype("<u8", copy=False)
+        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        counts += bits.sum(axis=0, dtype=np.int32)
+    return counts
+
+
+def majority(counts: np.ndarray, total: int) -> int:
+    """The fingerprint with the bits that over half of `total` hashes have."""
+    return int(np.packbits(counts * 2 > total, bitorder="little").view("<u8")[0])
+
+
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     """The 64-bit SimHash of a text's shingles, repeats included; 0 without a word."""
     words = text.encode().lower().split()
@@ -47,14 +62,13 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     starts = [0, *ends[:-1]]
     reach = min(shingle, len(words)) - 1
     digest = xxhash.xxh64_intdigest
-    set_bits, total = np.zeros(64, np.int64), len(words) - reach
+    counts, total = np.zeros(64, np.int64), len(words) - reach
     for first in range(0, total, UNPACKED):
         last = min(total, first + UNPACKED)
         hashes = np.array([digest(joined[a:b - 1], SEED) for a, b in zip(
             starts[first:last], ends[first + reach:last + reach], strict=True)], "<u8")
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        set_bits += bits.sum(axis=0, dtype=np.int32)
-    return int(np.packbits(set_bits * 2 > total, bitorder="little").view("<u8")[0])
+        counts += set_bits(hashes)
+    return majority(counts, total)
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from cases import LONG, ODD_ROWS, odd_documents
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 from skyledger.llm import near_copies
 
 
@@ -64,6 +66,37 @@ def test_stage_equals_a_comparison_of_all_pairs(spark, sf_dir, monkeypatch, freq
     assert 12 < len(want) < len(rows)
 
 
+def test_fingerprints_that_link_are_near_copies_by_themselves(spark, sf_dir, monkeypatch):
+    """Without any pair found by its shingles; equal fingerprints of unlike texts are no copies."""
+    def no_pairs(stars):
+        return lambda batches: (
+            pa.RecordBatch.from_pydict({c: pa.array([], pa.int64()) for c in ("a", "b")})
+            for _ in batches)
+
+    words = [f"w{i}" for i in range(600)]
+    texts = [" ".join(words), " ".join([*words[:300], "new", *words[301:]]), "some other text",
+             " ".join(words[::-1])]
+    a, b, *others = (near_copies.fingerprint(near_copies.shingles(text)) for text in texts)
+    assert 0 < ((a ^ b) % 2 ** 64).bit_count() <= 2
+    assert all(((a ^ c) % 2 ** 64).bit_count() > 2 for c in others)
+    monkeypatch.setattr(near_copies, "_pairs", no_pairs)
+    docs = spark.createDataFrame(enumerate(texts), "doc_id bigint, text string")
+    stage = dict(corpus_pipeline.STAGES)["simhash"]
+    assert sorted(r.doc_id for r in stage(spark, docs, sf_dir).collect()) == [0, 2, 3]
+
+
+def test_links_decide_nothing_that_the_sets_do_not(spark, sf_dir, monkeypatch):
+    rows = edited()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+
+    def any_two(fps):
+        return fps.select(F.col("fp").alias("a"), F.lag("fp").over(Window.orderBy("fp")).alias("b")).where(
+            "b is not null")
+
+    monkeypatch.setattr(near_copies, "links", any_two)
+    assert sorted(r.doc_id for r in near_copies.keep_one(docs).collect()) == brute_kept(rows)
+
+
 def test_documents_of_the_test_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     kept = near_copies.keep_one(docs)
