@@ -30,7 +30,9 @@ from skyledger.session import fresh_folder
 LENGTH, K, SPAN = 50, 8, 25
 REACH = LENGTH - SPAN + 1
 # Windows that a task gathers before it sends its blocks, and windows for each shard.
-TASK_WINDOWS, SHARD_WINDOWS = 500_000, 1_000_000
+TASK_WINDOWS, SHARD_WINDOWS = 200_000, 1_000_000
+# Bytes of text whose windows a task holds at once: each word may start one, of 28 bytes and as much to sort.
+WINDOWED_BYTES = 1 << 20
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SPACE = re.compile(r"[\x20\x09-\x0D]*")
 NO_ID = np.iinfo(np.int64).min
@@ -210,7 +212,7 @@ def _blocks(shards: int):
                 [pa.array(names, pa.int32()), pa.array(blobs, pa.binary())],
                 names=["shard", "block"])
 
-        for batch in slices(batches):
+        for batch in slices(batches, most=WINDOWED_BYTES):
             for places, hashes, _ in _windows(batch):
                 parts.append((hashes, places))
                 held += len(places)
@@ -315,7 +317,7 @@ def _finder(table: Table):
                           ("first_doc_id", pa.int64()), ("first_start", pa.int64()),
                           ("is_first", pa.bool_())])
         names = [field.name for field in span]
-        for batch in slices(batches):
+        for batch in slices(batches, most=WINDOWED_BYTES):
             rows = list(_windows(batch))
             found, places = lookup.first_places(np.concatenate([r[1] for r in rows]))
             ends = np.cumsum([len(r[0]) for r in rows])
@@ -398,6 +400,9 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
         return texts.combine(spans, lambda text, found: None if found is None else cut_text(
             text, [(span["start"], span["length"]) for span in found]))
 
+    # a deterministic function would be put into the filter below as well, and so run twice for each
+    # text, in a second worker beside the first
+    without = without.asNondeterministic()
     key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     joined = docs.join(cuts, docs["doc_id"].cast("bigint").eqNullSafe(cuts[cut_id]) & (
         key == cuts[cut_key]), "left")

@@ -168,3 +168,14 @@ def test_shards_off_a_mount_stay_within_a_bound(tmp_path, monkeypatch):
         assert (found[0] == mounted[0]).all() and (found[1] == mounted[1]).all()
         assert len(lookup._shards._known) <= 3 and lookup._shards._held <= 2 * shard_bytes
     assert found[0].sum() == len(keys[::3])
+
+
+def test_a_text_is_cut_once(spark):
+    """One Python step in the plan: none more for the filter behind it."""
+    passage = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, passage), (2, "new " + passage), (3, passage)],
+                                 "doc_id bigint, text string")
+    kept = suffix_dedup.cut_repeats(docs)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert sorted(map(tuple, kept.collect())) == [(1, passage), (2, "new ")]
