@@ -218,6 +218,18 @@ def test_settings_that_only_spark_has():
         assert not forest.can_grow(classifier(**params))
 
 
+def test_streamed_payloads_are_stored_compressed(spark, sf_dir, monkeypatch):
+    run = ml.train(train_flights(spark, sf_dir), "forest", {"numTrees": 3, "maxDepth": 3})
+    made, fresh = {}, catalog.fresh_folder
+    monkeypatch.setattr(catalog, "_run", lambda *_: run)
+    monkeypatch.setattr(catalog, "fresh_folder", lambda s, name: made.setdefault(name, fresh(s, name)))
+    found = catalog.stream_score(spark, sf_dir)
+    assert found.agg(F.sum("flights"), F.bool_and("as_batch")).first()[:] == (
+        train_flights(spark, sf_dir).count(), True)
+    files = list(Path(made["score-in"].removeprefix("file:")).glob("part-*"))
+    assert files and all(f.name.endswith(".gz") for f in files)
+
+
 def test_release_deletes_shuffle_files_of_written_tables(spark):
     folders = [Path(p) for p in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
                .blockManager().diskBlockManager().localDirsString()]
